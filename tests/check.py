@@ -60,7 +60,8 @@ def main(prefixes) -> int:
     import __spark_entry__ as entry
     from fabspark.session import build_session
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8",
-                                                  "spark.driver.memory": "8g"})
+                                                  "spark.driver.memory": "8g",
+                                                  "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(SF_DIR)
     oracles, failed = entry.oracle_sql(), 0
