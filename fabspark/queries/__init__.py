@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["rows", "gold_tables", "charts", "statistics"]
+MODULES = ["rows", "gold_tables", "charts", "statistics", "io"]
 
 
 def load() -> None:
