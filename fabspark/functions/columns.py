@@ -139,12 +139,34 @@ def surrogate_key(*texts: Column) -> Column:
     return F.md5(F.concat_ws("-", *texts))
 
 
+def mean(x: Column, over=None) -> Column:
+    """Average, exact for a constant: a sum of 0.1 divided again need not give 0.1.
+
+    One ulp of error would put every reading of a flat sensor on one side of its mean.
+    """
+    w = (lambda c: c.over(over)) if over is not None else (lambda c: c)
+    lo, hi = w(F.min(x)), w(F.max(x))
+    return F.when(lo == hi, lo).otherwise(w(F.avg(x)))
+
+
+def spread(x: Column, over=None) -> Column:
+    """Sample standard deviation, exactly 0 for a constant; NULL under two readings.
+
+    Merged partial moments leave about 1e-17 for some constants, which would pass
+    every check against zero.
+    """
+    w = (lambda c: c.over(over)) if over is not None else (lambda c: c)
+    return F.when((w(F.min(x)) == w(F.max(x))) & (w(F.count(x)) > 1), F.lit(0.0)).otherwise(
+        w(F.stddev_samp(x)))
+
+
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson r over rows where both sides are present; NULL when a side is constant."""
     both = x.isNotNull() & y.isNotNull()
     px, py = F.when(both, x), F.when(both, y)
-    spread = F.stddev_pop(px) * F.stddev_pop(py)
-    return F.try_divide(F.covar_pop(px, py), F.nullif(spread, F.lit(0.0)))
+    varies = (F.min(px) != F.max(px)) & (F.min(py) != F.max(py))
+    dev = F.stddev_pop(px) * F.stddev_pop(py)
+    return F.when(varies, F.try_divide(F.covar_pop(px, py), F.nullif(dev, F.lit(0.0))))
 
 
 def least_or_null(a: Column, b: Column) -> Column:

@@ -22,7 +22,7 @@ def sigma_shift(df: DataFrame, shifts: Mapping[str, float], reference: DataFrame
     if not named:
         return df
     # One row of scalars.
-    sd = (reference if reference is not None else df).agg(*[F.stddev_samp(C.col(s)) for s in named]).first()
+    sd = (reference if reference is not None else df).agg(*[C.spread(C.col(s)) for s in named]).first()
     return df.withColumns({s: C.col(s) + F.lit(d).cast("double") * F.lit(float(shifts[s]))
                            for s, d in zip(named, sd)})
 
@@ -50,7 +50,7 @@ def jitter(df: DataFrame, sensors: Sequence[str], variance: float, key: str, ts:
     day = F.to_date(ts)
     # One row per day.
     spread = settled(df.groupBy(day.alias("_day")).agg(
-        *[F.coalesce(F.stddev_samp(C.col(s)), F.lit(0.0)).alias(f"_sd{i}") for i, s in enumerate(sensors)]), "days")
+        *[F.coalesce(C.spread(C.col(s)), F.lit(0.0)).alias(f"_sd{i}") for i, s in enumerate(sensors)]), "days")
     out = df.withColumn("_day", day).join(spread, "_day", "left")
     out = out.withColumns({
         s: C.col(s) + _normal(F.col(key), s, seed) * F.col(f"_sd{i}") * F.lit(float(variance))
@@ -107,7 +107,7 @@ class LineSetup:
 def enrich_batch(df: DataFrame, line: LineSetup, generated_at: Column | None = None,
                  ts: str = "Time") -> DataFrame:
     """Stamp a batch with line, tester, lot, flags and drift; the shift is that of its first wafer."""
-    first = df.agg(F.min(ts)).first()[0]
+    first = df.agg(F.min(ts).cast("string")).first()[0]
     shift = C.shift_of(F.lit(first).cast(df.schema[ts].dataType))
     return df.withColumns({
         "line_id": F.lit(line.line_id), "tester_id": F.lit(line.tester_id), "shift": shift,

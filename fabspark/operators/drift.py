@@ -31,7 +31,7 @@ def drift(base: DataFrame, batch: DataFrame, limit: float = K.DRIFT_LIMIT,
     times the gap to the next value.
     """
     spread = base.groupBy("sensor_id").agg(F.count("val").alias("base_n"),
-                                           F.stddev_samp("val").alias("base_std"))
+                                           C.spread(F.col("val")).alias("base_std"))
     sizes = batch.groupBy("line_id", "sensor_id").agg(F.count("val").alias("batch_n"))
     # One row per line and sensor; its written size decides the join.
     groups = settled(sizes.join(spread, "sensor_id").filter(
@@ -110,7 +110,7 @@ def density(base: DataFrame, batch: DataFrame, points: int = 500) -> DataFrame:
     # Two rows, one per source.
     shape = settled(both.groupBy("source").agg(
         F.min("val").alias("lo"), F.max("val").alias("hi"), F.count(F.lit(1)).alias("n"),
-        F.stddev_samp("val").alias("sd")).filter((F.col("n") > 1) & (F.col("sd") > 0)), "shape")
+        C.spread(F.col("val")).alias("sd")).filter((F.col("n") > 1) & (F.col("sd") > 0)), "shape")
     h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     cells = value_counts(both, ["source"]).join(shape, "source").withColumn(
         "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))

@@ -100,7 +100,7 @@ def with_context(df: DataFrame, before: int, after: int = 0,
     size = block_rows or BLOCK_ROWS
     if size < max(before, after):
         raise ValueError("a block must be at least as long as its borders")
-    blk = F.floor((F.col("seq") - 1) / F.lit(size)).cast("long")
+    blk = F.expr(f"(seq - 1) DIV {int(size)}")
     at = (F.col("seq") - 1) % size
     targets = [blk]
     if before:

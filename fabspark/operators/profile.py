@@ -97,15 +97,16 @@ def split_point(df: DataFrame, label: str, order: Sequence[str], share: float =
     """First row of the test part: the k-th latest failure, k = floor(failures * share).
 
     With k = 0 the newest row alone is the test part. Returns the values of
-    ``order`` of that row, or None for an empty table.
+    ``order`` of that row as text, or None for an empty table.
     """
+    text = [F.col(c).cast("string") for c in order]
     fails = df.filter(F.col(label) == 1).select(*order)
     back = [F.col(c).desc() for c in order]
     k = int(fails.count() * share)
     if k == 0:
-        return df.select(*order).orderBy(*back).first()
+        return df.select(*order).orderBy(*back).limit(1).select(*text).first()
     placed = positions(fails.withColumn("_all", F.lit(0)), ["_all"], back)
-    return placed.filter(F.col("seq") == k).select(*order).first()
+    return placed.filter(F.col("seq") == k).select(*text).first()
 
 
 def time_split(df: DataFrame, label: str, order: Sequence[str], share: float = 0.2) -> DataFrame:

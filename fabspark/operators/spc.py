@@ -33,9 +33,10 @@ def _screened(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
              .select(*by, *TIME, "val")
              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= readings))
     g = Window.partitionBy(*by)
-    kept = first.withColumns({"_mu": F.avg("val").over(g), "_sd": F.stddev_samp("val").over(g)}).filter(
+    v = F.col("val")
+    kept = first.withColumns({"_mu": C.mean(v, g), "_sd": C.spread(v, g)}).filter(
         F.abs(F.col("val") - F.col("_mu")) <= 3 * F.coalesce("_sd", F.lit(K.RAW_SIGMA_FALLBACK)))
-    return kept.groupBy(*by).agg(F.avg("val").alias("mu"), F.stddev_samp("val").alias("sigma"),
+    return kept.groupBy(*by).agg(C.mean(v).alias("mu"), C.spread(v).alias("sigma"),
                                  F.count("val").alias("readings"))
 
 
@@ -158,8 +159,8 @@ def capability(long: DataFrame, specs: DataFrame, by: Sequence[str] = ("sensor_i
     one = settled(specs.groupBy("sensor_id").agg(F.min_by("usl", F.struct("line_id", "tester_id")).alias("usl"),
                                                  F.min_by("lsl", F.struct("line_id", "tester_id")).alias("lsl"))
                   if "line_id" in specs.columns else specs.select("sensor_id", "usl", "lsl"), "specs")
-    s = long.groupBy(*by).agg(F.count("val").alias("readings"), F.avg("val").alias("_m"),
-                              F.stddev_samp("val").alias("_s"))
+    s = long.groupBy(*by).agg(F.count("val").alias("readings"), C.mean(F.col("val")).alias("_m"),
+                              C.spread(F.col("val")).alias("_s"))
     s = s.join(one, "sensor_id")
     sd, m = F.col("_s"), F.col("_m")
     usable = (F.col("readings") >= 5) & (sd != 0)
@@ -180,15 +181,15 @@ def analyze_batch(long: DataFrame, limits: DataFrame, block_rows: int | None = N
     marked = monitor(long, limits, block_rows)
     hit = F.size("rules") > 0
     summary = marked.groupBy(*SERIES).agg(
-        C.rounded(F.avg("val"), 4).alias("mean"),
-        C.rounded(F.coalesce(F.stddev_samp("val"), F.lit(0.0)), 4).alias("std"),
+        C.rounded(C.mean(F.col("val")), 4).alias("mean"),
+        C.rounded(F.coalesce(C.spread(F.col("val")), F.lit(0.0)), 4).alias("std"),
         C.rounded(F.max("ucl"), 4).alias("ucl"), C.rounded(F.max("lcl"), 4).alias("lcl"),
         F.count_if(hit).alias("ooc_count"),
         *[F.max(F.array_contains("rules", n)).alias(f"_r{n}") for n in K.RULE_NAMES])
     names = F.concat_ws(", ", *[F.when(F.col(f"_r{n}"), name) for n, name in K.RULE_NAMES.items()])
     cap = join_on(
-        long.groupBy(*SERIES).agg(F.count("val").alias("readings"), F.avg("val").alias("_m"),
-                                  F.stddev_samp("val").alias("_s")),
+        long.groupBy(*SERIES).agg(F.count("val").alias("readings"), C.mean(F.col("val")).alias("_m"),
+                                  C.spread(F.col("val")).alias("_s")),
         limits.select(*SERIES, "usl", "lsl"), SERIES)
     sd, m = F.col("_s"), F.col("_m")
     usable = (F.col("readings") >= 5) & (sd != 0)

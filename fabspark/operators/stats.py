@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fabspark.functions import columns as C
 from fabspark.operators.ranking import average_ranks
@@ -35,7 +36,7 @@ def pareto(df: DataFrame, sensors: Sequence[str], label: str = "label_numeric",
     w = Window.orderBy(F.abs("r").desc_nulls_last(), "sensor_id")
     r = F.col("r")
     return c.select(
-        F.row_number().over(w).alias("rank"), "sensor_id", C.rounded(r, 6).alias("correlation"),
+        F.row_number().over(w).cast("long").alias("rank"), "sensor_id", C.rounded(r, 6).alias("correlation"),
         C.rounded(F.abs(r), 6).alias("abs_correlation"), F.col("n").alias("sample_size"),
         C.effect_strength(r).alias("effect_strength"), C.effect_direction(r).alias("direction"))
 
@@ -73,7 +74,7 @@ def t_tail(t: float, dof: float) -> float:
     return _beta_tail(dof / 2.0, 0.5, dof / (dof + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_test_p(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(a) or pd.isna(b) or b <= 0 else t_tail(a, b)
                       for a, b in zip(t, dof)], dtype="float64")
@@ -127,17 +128,17 @@ def corr_matrix(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
 
     One scan: each task multiplies its Arrow batches into pair sums, which are
     added up by pair. Values are centred first, so sums do not cancel. Tasks are
-    merged to a few per core, since each gives one row per pair. r is NULL where
+    merged to a two per core, since each gives one row per pair. r is NULL where
     a side does not vary.
     """
     spark = df.sparkSession
     sensors = list(sensors)
     mid = to_long(df, sensors, []).groupBy("sensor_id").agg(
-        F.when(F.min("val") == F.max("val"), F.min("val")).otherwise(F.avg("val")).alias("m"))
+        C.mean(F.col("val")).alias("m"))
     # One row per sensor: bounded by the schema.
     centre = {row[0]: row[1] or 0.0 for row in mid.collect()}
     values = df.select(*[C.col(s).cast("double").alias(s) for s in sensors])
-    sums = (values.coalesce(4 * spark.sparkContext.defaultParallelism)
+    sums = (values.coalesce(2 * spark.sparkContext.defaultParallelism)
             .mapInArrow(_pair_sums([centre.get(s, 0.0) for s in sensors]), PAIR_SUMS)
             .groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]))
     n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")

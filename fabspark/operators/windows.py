@@ -21,10 +21,10 @@ def trailing(df: DataFrame, ts: str, interval: str, by: Sequence[str] | None = N
     """
     span = F.expr(f"INTERVAL {interval}")
     if by is None:
-        last = df.agg(F.max(ts)).first()[0]
+        last = df.agg(F.max(ts).cast("string")).first()[0]
         return df.filter(F.lit(False)) if last is None else df.filter(F.col(ts) >= _lit(df, ts, last) - span)
     anchors = settled(df.groupBy(*by).agg(F.max(ts).alias("_last")), "anchors")
-    first = anchors.agg(F.min("_last")).first()[0]
+    first = anchors.agg(F.min("_last").cast("string")).first()[0]
     if first is None:
         return df.filter(F.lit(False))
     recent = df.filter(F.col(ts) >= _lit(df, ts, first) - span).dropna(subset=list(by))
@@ -32,7 +32,8 @@ def trailing(df: DataFrame, ts: str, interval: str, by: Sequence[str] | None = N
             .filter(F.col(ts) >= F.col("_last") - span).drop("_last"))
 
 
-def _lit(df: DataFrame, ts: str, value) -> Column:
+def _lit(df: DataFrame, ts: str, value: str) -> Column:
+    """Literal from text, which does not depend on the time zone of the driver process."""
     return F.lit(value).cast(df.schema[ts].dataType)
 
 

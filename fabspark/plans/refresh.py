@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ def _write(df: DataFrame, root: str, name: str, by: Sequence[str] = ()) -> DataF
     path = f"{root}/{name}"
     w = df.write.mode("overwrite")
     if by:
-        # Salted by row hash: one hot partition value is written by several tasks.
-        w = df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("overwrite").partitionBy(*by)
+        # Few files per partition value, but a large one is split over tasks by size.
+        w = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
     w.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -64,16 +65,20 @@ def refresh_days(bronze: DataFrame, changed: DataFrame, root: str, setup: Setup)
     days = [r[0] for r in changed.select(F.to_date("Time").alias("d")).distinct().collect() if r[0]]
     if not days:
         return
-    rows = bronze.filter(F.to_date("Time").isin(days))
+    # The range on the raw column reaches the scan; the list of days does not.
+    first, last = F.lit(str(min(days))), F.lit(str(max(days) + timedelta(days=1)))
+    rows = bronze.filter((F.col("Time") >= first.cast("timestamp_ntz")) & (F.col("Time") < last.cast("timestamp_ntz"))
+                         & F.to_date("Time").isin(days))
     staged = staging.stage(rows, setup.sensors, setup.key)
     rep = staging.reporting(staged, setup.max_missing)
     quar = staging.quarantine(staged, setup.max_missing)
 
     def put(df: DataFrame, name: str) -> None:
-        (df.repartition("process_date", F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("overwrite")
+        (df.hint("rebalance", "process_date").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("process_date").parquet(f"{root}/{name}"))
 
     put(yields.daily_yield(rep, quar), "daily")
     shifts = yields.shift_metrics(rep, quar)
     put(shifts, "shifts")
-    put(yields.oee(shifts), "oee")
+    written = bronze.sparkSession.read.schema(shifts.schema).parquet(f"{root}/shifts")
+    put(yields.oee(written.filter(F.col("process_date").isin(days))), "oee")

@@ -93,7 +93,7 @@ def f4(spark, sf):
         "_own").drop("_own")
 
 
-@query("f5_direction_flips", with_("points", body="""SELECT sensor_id, line_id, tester_id, seq, sign(d1) AS step,
+@query("f5_direction_flips", with_("points", body="""SELECT sensor_id, line_id, tester_id, seq, CAST(sign(d1) AS INTEGER) AS step,
   coalesce(sign(d1) * sign(d0) < 0, false) AS flip FROM points"""))
 def f5(spark, sf):
     p, w = _frames(spark, sf)
@@ -102,7 +102,7 @@ def f5(spark, sf):
     return p.filter("_own").select(*spc.SERIES, "seq", "step", "flip").withColumn("step", F.col("step").cast("int"))
 
 
-@query("f9_first_difference", with_("points", body="SELECT sensor_id, line_id, tester_id, seq, round(d1, 6) AS diff, sign(d1) AS step FROM points"))
+@query("f9_first_difference", with_("points", body="SELECT sensor_id, line_id, tester_id, seq, round(d1, 6) AS diff, CAST(sign(d1) AS INTEGER) AS step FROM points"))
 def f9(spark, sf):
     p, w = _frames(spark, sf)
     d = F.col("val") - F.lag("val").over(w)

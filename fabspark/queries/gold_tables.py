@@ -85,8 +85,8 @@ def e3(spark, sf):
         "lot_id", C.ratio(F.col("f"), F.col("p"), 100, 2).alias("fail_per_pass"))
 
 
-@query("e4_scrap_rate", with_("staged", body="""SELECT line_id, shift, round(count(*) FILTER (WHERE missing_sensor_count >= 2)::DOUBLE
-  / count(*) * 100, 2) AS scrap_rate_pct FROM staged GROUP BY ALL"""))
+@query("e4_scrap_rate", with_("shifts", body="""SELECT line_id, shift, round(sum(quarantined_wafers)::DOUBLE
+  / sum(wafers_tested + quarantined_wafers) * 100, 2) AS scrap_rate_pct FROM shifts GROUP BY ALL"""))
 def e4(spark, sf):
     s = gold(spark, sf, "shifts").groupBy("line_id", "shift").agg(
         F.sum("quarantined_wafers").alias("q"), F.sum("wafers_tested").alias("t"))

@@ -33,9 +33,9 @@ def _batch(spark, sf):
         "applied_drift_features": F.lit('{"s59": 0.5}')})
 
 
-def _landing(spark, sf, files_per_day=8):
+def _landing(spark, sf):
     base = new_path(spark, "landing")
-    files.write_landing(_batch(spark, sf), base, files_per_day=files_per_day)
+    files.write_landing(_batch(spark, sf), base)
     return base
 
 
@@ -253,7 +253,7 @@ def l3(spark, sf):
 
 
 def _ingested(spark, sf, after=None):
-    base, out = _landing(spark, sf, files_per_day=1), new_path(spark, "bronze")
+    base, out = _landing(spark, sf), new_path(spark, "bronze")
     s = intake.stream_landing(spark, base, LANDING, max_files=20)
     intake.ingest(s, out, new_path(spark, "position"), "0.1.0", after).awaitTermination()
     return spark.read.parquet(out)

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +47,32 @@ def new_path(spark: SparkSession, name: str = "t") -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables settled inside when the block ends.
+
+    For work that writes its own results, such as a micro-batch: a long-running
+    stream would otherwise fill the shared folder.
+    """
+    made: list[str] = []
+    token = _SCRATCH.set(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in made:
+            drop_path(spark, path)
+
+
 def settled(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
@@ -54,4 +83,7 @@ def settled(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    made = _SCRATCH.get()
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)

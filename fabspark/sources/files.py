@@ -57,15 +57,13 @@ def with_ingest_meta(df: DataFrame, version: str) -> DataFrame:
 PATH_KEYS = ("line_id", "year", "month", "day")
 
 
-def write_landing(df: DataFrame, base: str, mode: str = "append", files_per_day: int = 8) -> None:
+def write_landing(df: DataFrame, base: str, mode: str = "append") -> None:
     """Write a batch under line and generation day.
 
-    Rows of a (line, day) are spread over up to ``files_per_day`` files by hash, so
-    one large line does not end in one task, and small ones do not make many files
-    per input task.
+    The rebalance hint gathers the rows of a (line, day) but splits a large one
+    over several tasks by size, so there are few files and no hot task.
     """
     g = F.col("generation_timestamp")
     out = df.withColumns({"year": F.date_format(g, "yyyy"), "month": F.date_format(g, "MM"),
                           "day": F.date_format(g, "dd")})
-    salt = F.pmod(F.xxhash64("Time", "lot_id"), F.lit(files_per_day))
-    (out.repartition(*PATH_KEYS, salt).write.mode(mode).partitionBy(*PATH_KEYS).parquet(base))
+    (out.hint("rebalance", *PATH_KEYS).write.mode(mode).partitionBy(*PATH_KEYS).parquet(base))

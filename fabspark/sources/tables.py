@@ -35,9 +35,11 @@ def materialize(df: DataFrame, table: str, partition_by: Sequence[str] = (),
     spark = df.sparkSession
     if "." in table:
         ensure_database(spark, table.split(".")[0], location)
-    w = df.write.mode("overwrite").format("parquet")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    else:
+        w = df.write
+    w = w.mode("overwrite").format("parquet")
     w.saveAsTable(table)
     return spark.table(table)
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fabspark.operators import spc
 from fabspark.operators.ordering import join_on
+from fabspark.session import drop_path, scratch, settled
 from fabspark.sources.tables import overwrite_batch
 from fabspark.streaming.intake import start
 
@@ -28,6 +29,15 @@ def judge(long: DataFrame, limits: DataFrame, root: str, batch_id: int,
     to ``late`` and are not judged. All outputs of a batch are written under its
     id, so a replay gives the same files.
     """
+    spark = long.sparkSession
+    with scratch(spark):
+        _judge(long, limits, root, batch_id, block_rows)
+    if batch_id > 1:
+        # A replay reads the history of the batch before it, nothing older.
+        drop_path(spark, f"{root}/history/batch_id={batch_id - 2}")
+
+
+def _judge(long: DataFrame, limits: DataFrame, root: str, batch_id: int, block_rows: int | None) -> None:
     spark = long.sparkSession
     long = long.filter(F.col("val").isNotNull())
     history = f"{root}/history/batch_id={batch_id - 1}"
@@ -37,8 +47,8 @@ def judge(long: DataFrame, limits: DataFrame, root: str, batch_id: int,
         old = spark.read.parquet(history)
         # One row per series.
         last = old.groupBy(*spc.SERIES).agg(F.max(F.struct(*spc.TIME)).alias("_last"))
-        marked = join_on(long, last, spc.SERIES, "left").withColumn(
-            "_late", F.coalesce(F.struct(*spc.TIME) <= F.col("_last"), F.lit(False))).drop("_last")
+        marked = settled(join_on(long, last, spc.SERIES, "left").withColumn(
+            "_late", F.coalesce(F.struct(*spc.TIME) <= F.col("_last"), F.lit(False))).drop("_last"), "batch")
         overwrite_batch(marked.filter("_late").drop("_late"), f"{root}/late", batch_id)
         fresh = marked.filter(~F.col("_late")).drop("_late")
     rows = fresh.withColumn("_new", F.lit(True))

@@ -56,6 +56,16 @@ def compare(df, con, sql: str) -> str | None:
     return f"{len(bad)} rows differ, first {bad[0]}" if bad else None
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def type_notes(df, con, sql: str) -> str:
+    """Columns whose types differ between the two engines."""
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return ", ".join(f"{c}: {t} / {theirs[c]}" for c, t in df.dtypes if TYPES.get(t, t) != theirs.get(c))
+
+
 def main(prefixes) -> int:
     import __spark_entry__ as entry
     from fabspark.session import build_session
@@ -73,7 +83,9 @@ def main(prefixes) -> int:
             df = fn(spark, SF_DIR)
             if name in oracles:
                 problem = compare(df, con, oracles[name])
-                note = "ok" if problem is None else "DIFF " + problem
+                note = f"ok {con.execute(f'SELECT count(*) FROM ({oracles[name]})').fetchone()[0]}" if problem is None else "DIFF " + problem
+                types = type_notes(df, con, oracles[name])
+                note += f" (types {types})" if types else ""
             else:
                 note = f"ok rows-only {df.count()}"
         except Exception as e:  # report and go on
