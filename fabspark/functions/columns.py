@@ -10,9 +10,26 @@ from pyspark.sql import functions as F
 from fabspark import constants as K
 
 
+def ident(name: str) -> str:
+    """Quoted column name; sensor names are digits and would else be numbers."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """String literal of an SQL expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def col(name: str) -> Column:
-    """Column by literal name; sensor names are digits and need quoting."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(ident(name))
+
+
+# Expressions over all sensors are given to Spark as one text. Built call by call,
+# 590 sensors take seconds in the driver before the query starts.
+
+def array_of(parts: Sequence[str]) -> Column:
+    """Array of SQL expressions."""
+    return F.expr(f"array({', '.join(parts)})")
 
 
 def rounded(value: Column, digits: int) -> Column:
@@ -51,8 +68,11 @@ def binary_label(label: Column) -> Column:
 
 
 def missing_count(sensors: Sequence[str]) -> Column:
-    """NULL sensors in a row, as one expression however many sensors there are."""
-    return F.size(F.filter(F.array(*[col(s).isNull() for s in sensors]), lambda x: x))
+    """NULL sensors in a row, as one flat expression however many sensors there are.
+
+    ``array_remove`` is compiled; a lambda over 590 flags took six times as long.
+    """
+    return F.size(F.array_remove(array_of([f"{ident(s)} IS NULL" for s in sensors]), False))
 
 
 def shift_of(ts: Column) -> Column:

@@ -27,15 +27,14 @@ def sigma_shift(df: DataFrame, shifts: Mapping[str, float], reference: DataFrame
                            for s, d in zip(named, sd)})
 
 
-def _uniform(*parts: Column) -> Column:
+def _uniform(*parts: str) -> str:
     """Even number in (0, 1), the same for the same parts on every run."""
-    return (F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") + 0.5) / F.lit(float(2 ** 53))
+    return f"((CAST(shiftrightunsigned(xxhash64({', '.join(parts)}), 11) AS DOUBLE) + 0.5D) / {float(2 ** 53)}D)"
 
 
-def _normal(key: Column, name: str, seed: int) -> Column:
-    u = _uniform(key, F.lit(name), F.lit(seed), F.lit("u"))
-    v = _uniform(key, F.lit(name), F.lit(seed), F.lit("v"))
-    return F.sqrt(-2 * F.log(u)) * F.cos(2 * F.pi() * v)
+def _normal(key: str, name: str, seed: int) -> str:
+    parts = (C.ident(key), C.text(name), str(int(seed)))
+    return f"(sqrt(-2.0D * ln({_uniform(*parts, C.text('u'))})) * cos(2.0D * pi() * {_uniform(*parts, C.text('v'))}))"
 
 
 def jitter(df: DataFrame, sensors: Sequence[str], variance: float, key: str, ts: str = "Time",
@@ -48,14 +47,17 @@ def jitter(df: DataFrame, sensors: Sequence[str], variance: float, key: str, ts:
     if variance <= 0:
         return df
     day = F.to_date(ts)
-    # One row per day.
-    spread = settled(df.groupBy(day.alias("_day")).agg(
-        *[F.coalesce(C.spread(C.col(s)), F.lit(0.0)).alias(f"_sd{i}") for i, s in enumerate(sensors)]), "days")
+    cells = F.posexplode(C.array_of([f"CAST({C.ident(s)} AS DOUBLE)" for s in sensors])).alias("_i", "_v")
+    spread = df.select(day.alias("_day"), cells).groupBy("_day", "_i").agg(
+        F.coalesce(C.spread(F.col("_v")), F.lit(0.0)).alias("_sd"))
+    # One row per day, with one number per sensor.
+    spread = settled(spread.groupBy("_day").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_sd"))), lambda x: x["_sd"]).alias("_sds")), "days")
     out = df.withColumn("_day", day).join(spread, "_day", "left")
-    out = out.withColumns({
-        s: C.col(s) + _normal(F.col(key), s, seed) * F.col(f"_sd{i}") * F.lit(float(variance))
-        for i, s in enumerate(sensors)})
-    return out.select(*[C.col(c) for c in df.columns])
+    at = {s: i for i, s in enumerate(sensors)}
+    return out.selectExpr(*[
+        f"{C.ident(c)} + {_normal(key, c, seed)} * get(_sds, {at[c]}) * {float(variance)!r}D AS {C.ident(c)}"
+        if c in at else C.ident(c) for c in df.columns])
 
 
 def day_index(df: DataFrame, ts: str = "Time") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,14 +15,15 @@ from fabspark.operators.reshape import to_long
 from fabspark.session import settled
 
 
-def _text_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[C.col(c).cast("string").alias(c) for c in cols]).unpivot(
-        [], [C.col(c) for c in cols], "column", "value")
+def _cells(cols: Sequence[str], value: str) -> Column:
+    return F.inline(C.array_of([
+        f"named_struct('column', {C.text(c)}, 'value', {value.format(c=C.ident(c))})" for c in cols]))
 
 
 def missing_by_column(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    m = F.count_if(F.col("value").isNull())
-    return _text_long(df, cols or df.columns).groupBy("column").agg(
+    m = F.count_if("value")
+    gaps = df.select(_cells(cols or df.columns, "{c} IS NULL"))
+    return gaps.groupBy("column").agg(
         m.alias("missing"), (m / F.count(F.lit(1)) * 100).alias("percent"))
 
 
@@ -40,15 +41,16 @@ def duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     are then compared exactly.
     """
     cols = list(cols or df.columns)
-    hashed = df.select(*[C.col(c) for c in cols]).withColumn("_h", F.xxhash64(*[C.col(c) for c in cols]))
+    hashed = df.select(*map(C.ident, cols)).withColumn("_h", F.expr(f"xxhash64({', '.join(map(C.ident, cols))})"))
     again = settled(hashed.groupBy("_h").count().filter("count > 1").select("_h"), "hashes")
-    return hashed.join(again, "_h", "left_semi").groupBy(*[C.col(c) for c in cols]).agg(
+    return hashed.join(again, "_h", "left_semi").groupBy(*map(C.ident, cols)).agg(
         F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
 def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Columns without a value or with one value only; no distinct count needed."""
-    c = _text_long(df, cols or df.columns).groupBy("column").agg(
+    text = df.select(_cells(cols or df.columns, "CAST({c} AS STRING)"))
+    c = text.groupBy("column").agg(
         F.count("value").alias("values"), F.min("value").alias("lo"), F.max("value").alias("hi"))
     return c.filter((F.col("values") == 0) | (F.col("lo") == F.col("hi"))).select(
         "column", F.when(F.col("values") == 0, "empty").otherwise("constant").alias("kind"), "values")

@@ -15,13 +15,14 @@ def to_long(df: DataFrame, sensors: Sequence[str], keys: Sequence[str],
             prefix: str = "") -> DataFrame:
     """One row per (row, sensor); one scan, only the named sensors are read.
 
-    ``prefix`` is cut off the column names to give ``sensor_id``.
+    ``prefix`` is cut off the column names to give ``sensor_id``. The readings go
+    into one array that is then inlined: with 590 sensors that runs many times
+    faster than ``unpivot``, which plans one projection per sensor.
     """
-    wide = df.select(*[C.col(k) for k in keys], *[C.col(s).cast("double").alias(s) for s in sensors])
-    long = wide.unpivot([C.col(k) for k in keys], [C.col(s) for s in sensors], "sensor_id", "val")
-    if prefix:
-        long = long.withColumn("sensor_id", F.substring("sensor_id", len(prefix) + 1, 100))
-    return long
+    cells = C.array_of([
+        f"named_struct('sensor_id', {C.text(s.removeprefix(prefix))}, 'val', CAST({C.ident(s)} AS DOUBLE))"
+        for s in sensors])
+    return df.select(*[C.col(k) for k in keys], F.inline(cells))
 
 
 def yield_pivot(shift: DataFrame, shifts: Sequence[str] = ("Day", "Swing", "Night")) -> DataFrame:

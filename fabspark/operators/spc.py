@@ -8,6 +8,7 @@ frames, and stays silent for series under nine readings or without spread.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,7 +125,8 @@ def violation_rows(ends: DataFrame, worst_rule_only: bool = False) -> DataFrame:
     if worst_rule_only:
         hits = F.slice(hits, 1, 1)
     carried = [c for c in ("shift", "lot_id", "wafer_status") if c in ends.columns]
-    return ends.withColumn("_hit", F.explode(hits)).select(
+    hit = reduce(lambda a, b: a | b, [F.col(f"rule{n}") for n in K.RULE_NAMES])
+    return ends.filter(hit).withColumn("_hit", F.explode(hits)).select(
         "observation_id", "process_timestamp", "line_id", "tester_id", *carried, "sensor_id",
         C.rounded(F.col("val"), 6).alias("sensor_value"), C.rounded(F.col("mu"), 6).alias("reference_mean"),
         C.rounded(F.col("sigma"), 6).alias("reference_sigma"), C.rounded(F.col("z_score"), 4).alias("z_score"),

@@ -34,8 +34,8 @@ def stage(bronze: DataFrame, sensors: Sequence[str], key: Column | None = None)
         label.cast("long").alias("label_numeric"),
         C.missing_count(sensors).alias("missing_sensor_count"),
         *[F.col(c) for c in PLAIN],
-        *[C.col(c) for c in bronze.columns if c not in used],
-        *[C.col(s) for s in sensors],
+        *[C.ident(c) for c in bronze.columns if c not in used],
+        *[C.ident(s) for s in sensors],
         *[F.col(a).alias(b) for a, b in lineage])
 
 
@@ -68,4 +68,4 @@ def failing(df: DataFrame) -> DataFrame:
 
 
 def select_sensors(df: DataFrame, sensors: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    return df.select(*[C.col(c) for c in (*keep, *sensors)])
+    return df.select(*[C.ident(c) for c in (*keep, *sensors)])

@@ -137,7 +137,7 @@ def corr_matrix(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
         C.mean(F.col("val")).alias("m"))
     # One row per sensor: bounded by the schema.
     centre = {row[0]: row[1] or 0.0 for row in mid.collect()}
-    values = df.select(*[C.col(s).cast("double").alias(s) for s in sensors])
+    values = df.selectExpr(*[f"CAST({C.ident(s)} AS DOUBLE) AS {C.ident(s)}" for s in sensors])
     sums = (values.coalesce(2 * spark.sparkContext.defaultParallelism)
             .mapInArrow(_pair_sums([centre.get(s, 0.0) for s in sensors]), PAIR_SUMS)
             .groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]))
@@ -146,7 +146,7 @@ def corr_matrix(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
     vb = F.col("sbb") - F.try_divide(sb * sb, n)
     varies = (va > 1e-12 * F.col("saa")) & (vb > 1e-12 * F.col("sbb"))
     r = F.try_divide(F.col("sab") - F.try_divide(sa * sb, n), F.sqrt(F.when(varies, va) * vb))
-    names = F.array(*[F.lit(s) for s in sensors])
+    names = C.array_of([C.text(s) for s in sensors])
     half = sums.select("a", "b", n.cast("long").alias("n"),
                        F.when(F.col("a") == F.col("b"), F.when(varies, F.lit(1.0))).otherwise(r).alias("r"))
     both = half.withColumn("_p", F.explode(F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b")))
