@@ -23,7 +23,7 @@ TIME = ["process_timestamp", "observation_id"]
 REACH = max(K.RULE_SPANS.values()) - 1
 
 
-def _screened(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
+def screened(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
     """Mean and spread of the first readings per group, without raw outliers.
 
     First-N per group is a ranked filter, cut to N rows in every task before the
@@ -44,7 +44,7 @@ def _screened(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
 def spec_limits(long: DataFrame, line: str = K.GOLDEN_LINE,
                 readings: int = K.BASELINE_READINGS) -> DataFrame:
     """Factory specification limits per sensor, from the golden line."""
-    s = _screened(long.filter(F.col("line_id") == line), ["sensor_id"], readings)
+    s = screened(long.filter(F.col("line_id") == line), ["sensor_id"], readings)
     half = K.SPEC_SIGMAS * F.col("sigma")
     return s.select("sensor_id", (F.col("mu") + half).alias("usl"), (F.col("mu") - half).alias("lsl"))
 
@@ -52,7 +52,7 @@ def spec_limits(long: DataFrame, line: str = K.GOLDEN_LINE,
 def baseline(long: DataFrame, line: str = K.GOLDEN_LINE, readings: int = K.BASELINE_READINGS,
              min_readings: int = K.BASELINE_MIN_READINGS) -> DataFrame:
     """Frozen control, warning and specification limits per line, tester and sensor."""
-    s = _screened(long, ["line_id", "tester_id", "sensor_id"], readings).filter(
+    s = screened(long, ["line_id", "tester_id", "sensor_id"], readings).filter(
         F.col("readings") > min_readings)
     # One row per sensor: bounded by the schema, and settled so its size is known.
     specs = settled(spec_limits(long, line, readings), "specs")
@@ -77,7 +77,7 @@ def spc_points(long: DataFrame, limits: DataFrame, how: str = "left") -> DataFra
     return pts.withColumns({"z_score": F.try_divide(off, F.col("sigma")), "side_of_mean": F.signum(off)})
 
 
-def _hits(cond: Column, n: int, w) -> Column:
+def hits(cond: Column, n: int, w) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0)).over(w.rowsBetween(-(n - 1), 0))
 
 
@@ -93,10 +93,10 @@ def rule_ends(points: DataFrame, block_rows: int | None = None, after: int = 0)
     p = p.withColumn("_flip", F.col("_step") * F.lag("_step").over(w) < 0)
     z, side, step = F.col("z_score"), F.col("side_of_mean"), F.col("_step")
     p = p.withColumns({
-        "_up9": _hits(side > 0, 9, w), "_dn9": _hits(side < 0, 9, w),
-        "_up5": _hits(step > 0, 5, w), "_dn5": _hits(step < 0, 5, w),
-        "_alt": _hits(F.col("_flip"), 12, w),
-        "_hi3": _hits(z > 2, 3, w), "_lo3": _hits(z < -2, 3, w)})
+        "_up9": hits(side > 0, 9, w), "_dn9": hits(side < 0, 9, w),
+        "_up5": hits(step > 0, 5, w), "_dn5": hits(step < 0, 5, w),
+        "_alt": hits(F.col("_flip"), 12, w),
+        "_hi3": hits(z > 2, 3, w), "_lo3": hits(z < -2, 3, w)})
     return p.withColumns({
         "rule1": F.coalesce(F.abs(z) > 3, F.lit(False)),
         "rule2": (F.col("_up9") == 9) | (F.col("_dn9") == 9),
@@ -106,7 +106,7 @@ def rule_ends(points: DataFrame, block_rows: int | None = None, after: int = 0)
     }).drop("_step", "_flip", "_up9", "_dn9", "_up5", "_dn5", "_alt", "_hi3", "_lo3")
 
 
-def _hit_rules() -> Column:
+def hit_rules() -> Column:
     """Array of the rules that hit, worst (lowest number) first."""
     return F.array_compact(F.array(*[
         F.when(F.col(f"rule{n}"), F.struct(F.lit(n).alias("rule_number"), F.lit(name).alias("rule_name")))
@@ -121,12 +121,12 @@ def violations(long: DataFrame, limits: DataFrame, worst_rule_only: bool = False
 
 
 def violation_rows(ends: DataFrame, worst_rule_only: bool = False) -> DataFrame:
-    hits = _hit_rules()
+    found = hit_rules()
     if worst_rule_only:
-        hits = F.slice(hits, 1, 1)
+        found = F.slice(found, 1, 1)
     carried = [c for c in ("shift", "lot_id", "wafer_status") if c in ends.columns]
     hit = reduce(lambda a, b: a | b, [F.col(f"rule{n}") for n in K.RULE_NAMES])
-    return ends.filter(hit).withColumn("_hit", F.explode(hits)).select(
+    return ends.filter(hit).withColumn("_hit", F.explode(found)).select(
         "observation_id", "process_timestamp", "line_id", "tester_id", *carried, "sensor_id",
         C.rounded(F.col("val"), 6).alias("sensor_value"), C.rounded(F.col("mu"), 6).alias("reference_mean"),
         C.rounded(F.col("sigma"), 6).alias("reference_sigma"), C.rounded(F.col("z_score"), 4).alias("z_score"),

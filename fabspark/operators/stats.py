@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fabspark.functions import columns as C
-from fabspark.operators.ranking import average_ranks
+from fabspark.operators.ranking import average_ranks, percentiles
 from fabspark.operators.reshape import to_long
 from fabspark.session import settled
 
@@ -208,7 +208,6 @@ def redundant(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
 
 def box_stats(df: DataFrame, sensor: str, status: str = "wafer_status") -> DataFrame:
     """Five-number summary of a sensor per wafer status."""
-    from fabspark.operators.ranking import percentiles
     long = df.select(status, C.col(sensor).cast("double").alias("val"))
     return percentiles(long, [status], {"lowest": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "highest": 1.0})
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from fabspark.operators import spc, windows
 from fabspark.operators.ordering import positions, with_context
+from fabspark.operators.reshape import to_long
 from fabspark.plans import fixtures as X
-from fabspark.queries.common import r, rounded
+from fabspark.queries.common import cols, r, rounded
 from fabspark.queries.registry import BARE, gold, long, query, silver, with_
 
 SERIES3 = "sensor_id, line_id, tester_id"
@@ -16,13 +17,13 @@ FIRST100 = """SELECT * FROM long QUALIFY row_number() OVER (PARTITION BY line_id
   ORDER BY process_timestamp, observation_id) <= 100"""
 
 
-@query("d3_screened_baseline", with_("limits", body=f"SELECT line_id, tester_id, sensor_id, {r('mu', 'sigma')[2:].removeprefix('REPLACE ').strip('()')}, readings FROM limits"))
+@query("d3_screened_baseline", with_("limits", body=f"SELECT line_id, tester_id, sensor_id, {cols('mu', 'sigma')}, readings FROM limits"))
 def d3(spark, sf):
-    s = spc._screened(long(spark, sf, BARE), ["line_id", "tester_id", "sensor_id"], 100)
+    s = spc.screened(long(spark, sf, BARE), ["line_id", "tester_id", "sensor_id"], 100)
     return rounded(s.filter(F.col("readings") > 30))
 
 
-@query("d4_baseline_with_specs", with_("limits", body=f"SELECT line_id, tester_id, sensor_id, round(usl, 6) AS usl, round(lsl, 6) AS lsl FROM limits"))
+@query("d4_baseline_with_specs", with_("limits", body=f"SELECT line_id, tester_id, sensor_id, {cols('usl', 'lsl')} FROM limits"))
 def d4(spark, sf):
     return rounded(spc.baseline(long(spark, sf, BARE)).select("line_id", "tester_id", "sensor_id", "usl", "lsl"))
 
@@ -80,9 +81,9 @@ def over(n):
 def f3(spark, sf):
     p, w = _frames(spark, sf)
     side = F.col("side_of_mean")
-    return p.select(*spc.SERIES, "seq", "_own", spc._hits(side > 0, 9, w).alias("above9"),
-                    spc._hits(side < 0, 9, w).alias("below9"),
-                    spc._hits(F.col("z_score") > 2, 3, w).alias("high3")).filter("_own").drop("_own")
+    return p.select(*spc.SERIES, "seq", "_own", spc.hits(side > 0, 9, w).alias("above9"),
+                    spc.hits(side < 0, 9, w).alias("below9"),
+                    spc.hits(F.col("z_score") > 2, 3, w).alias("high3")).filter("_own").drop("_own")
 
 
 @query("f4_lags", with_("points", body=f"""SELECT sensor_id, line_id, tester_id, seq, {', '.join(f'lag(val, {k}) OVER s AS v{k}' for k in range(1, 6))}
@@ -113,7 +114,7 @@ def f9(spark, sf):
   CASE WHEN seq >= 3 THEN count(*) FILTER (WHERE z > 2) {over(3)} END AS high3 FROM points"""))
 def f10(spark, sf):
     p, w = _frames(spark, sf)
-    n = spc._hits(F.col("z_score") > 2, 3, w)
+    n = spc.hits(F.col("z_score") > 2, 3, w)
     return p.select(*spc.SERIES, "seq", "_own", F.when(F.col("seq") >= 3, n).alias("high3")).filter("_own").drop("_own")
 
 
@@ -201,7 +202,7 @@ def cap_sql(source, by):
           concat_ws(', ', CASE WHEN bool_or(m1) THEN 'Rule 1: Beyond 3σ' END, CASE WHEN bool_or(m2) THEN 'Rule 2: 9 on one side' END,
             CASE WHEN bool_or(m3) THEN 'Rule 3: 6 trending' END, CASE WHEN bool_or(m4) THEN 'Rule 4: 14 alternating' END,
             CASE WHEN bool_or(m5) THEN 'Rule 5: 2/3 beyond 2σ' END) AS violations FROM marks GROUP BY ALL) k
-  JOIN ({cap_sql('long', 'sensor_id, line_id, tester_id').replace('JOIN (SELECT', 'JOIN (SELECT')}) c USING (sensor_id, line_id, tester_id)"""))
+  JOIN ({cap_sql('long', 'sensor_id, line_id, tester_id')}) c USING (sensor_id, line_id, tester_id)"""))
 def g11(spark, sf):
     return spc.analyze_batch(long(spark, sf, BARE), gold(spark, sf, "limits"))
 
@@ -221,6 +222,5 @@ def g13(spark, sf):
 @query("g14_long_term_capability", with_("limits", body=cap_sql("""(SELECT * FROM long WHERE observation_id IN (SELECT observation_id
   FROM silver QUALIFY process_timestamp >= max(process_timestamp) OVER (PARTITION BY line_id) - INTERVAL 7 DAY))""", "sensor_id")))
 def g14(spark, sf):
-    from fabspark.operators.reshape import to_long
     recent = windows.trailing(silver(spark, sf), "process_timestamp", "'7' DAY", ["line_id"])
     return spc.capability(to_long(recent, X.SENSORS, ["line_id"], "s"), gold(spark, sf, "limits"))

@@ -17,6 +17,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         for f in df.schema.fields])
 
 
+def cols(*names: str, digits: int = 6) -> str:
+    """The named columns, rounded."""
+    return ", ".join(f"round({n}, {digits}) AS {n}" for n in names)
+
+
 def r(*names: str, digits: int = 6) -> str:
-    """``* REPLACE (...)`` that rounds the named columns."""
-    return "* REPLACE (" + ", ".join(f"round({n}, {digits}) AS {n}" for n in names) + ")"
+    """All columns, the named ones rounded."""
+    return f"* REPLACE ({cols(*names, digits=digits)})"

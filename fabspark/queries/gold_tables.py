@@ -9,7 +9,7 @@ from fabspark.operators import windows, yields
 from fabspark.operators.staging import failing
 from fabspark.plans import fixtures as X
 from fabspark.plans import serving as S
-from fabspark.queries.common import r, rounded
+from fabspark.queries.common import cols, r, rounded
 from fabspark.queries.registry import gold, query, quarantine, silver, with_
 
 RATES = """sum(passed_wafers)::DOUBLE / sum(total_wafers_tested) * 100 AS yield_percentage,
@@ -278,7 +278,7 @@ def e27(spark, sf):
 ROLL = "avg(yield_percentage) OVER ({p} ORDER BY process_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
 
 
-@query("f7_rolling_mean_factory", with_("daily", body=f"""SELECT process_date, {r('yield_rolling_7d').removeprefix('* REPLACE ').strip('()')}
+@query("f7_rolling_mean_factory", with_("daily", body=f"""SELECT process_date, {cols('yield_rolling_7d')}
   FROM (SELECT process_date, {ROLL.format(p='')} AS yield_rolling_7d FROM (SELECT process_date, {RATES} FROM daily
     WHERE process_date >= (SELECT max(process_date) FROM daily) - INTERVAL 30 DAY GROUP BY process_date))"""))
 def f7(spark, sf):

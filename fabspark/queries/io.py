@@ -148,6 +148,12 @@ def a13(spark, sf):
     return e.select("id", "event_type", "ts", F.from_json("payload", "k BIGINT")["k"].alias("k"))
 
 
+@query("i2_newest_events", """SELECT event_id AS id, event_type, ts FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR
+  ORDER BY ts DESC, event_id DESC LIMIT 200""")
+def i2_events(spark, sf):
+    return E.events_window(_log(spark, sf), 24).limit(200).select("id", "event_type", "ts")
+
+
 @query("a14_log_append", "SELECT event_type, count(*) AS n FROM events GROUP BY ALL")
 def a14(spark, sf):
     path, log = new_path(spark, "log"), _log(spark, sf)

@@ -9,6 +9,7 @@ from fabspark.operators import drift as D
 from fabspark.operators import profile as P
 from fabspark.operators import quality as Q
 from fabspark.operators import stats
+from fabspark.operators.ordering import positions
 from fabspark.operators.reshape import to_long
 from fabspark.operators.staging import failing
 from fabspark.plans import fixtures as X
@@ -37,6 +38,11 @@ def i5(spark, sf):
     return _pareto(spark, sf).orderBy("rank").limit(3).select("rank", "sensor_id", "direction")
 
 
+@query("i2_top_sensors", with_("long", body=f"SELECT rank, sensor_id, correlation FROM ({PARETO}) ORDER BY rank LIMIT 20"))
+def i2_sensors(spark, sf):
+    return _pareto(spark, sf).orderBy("rank").limit(20).select("rank", "sensor_id", "correlation")
+
+
 @query("f6_rank_sensors", with_("long", body=f"SELECT sensor_id, rank FROM ({PARETO})"))
 def f6(spark, sf):
     return _pareto(spark, sf).select("sensor_id", "rank")
@@ -56,7 +62,7 @@ PAIRS = """SELECT a.sensor_id AS sensor_a, b.sensor_id AS sensor_b, count(*) AS
 CLEAN_R = "CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) END AS r"
 
 
-@query("h2_corr_matrix", with_("long", body=f"SELECT sensor_a, sensor_b, n, {CLEAN_R} FROM ({PAIRS.format(where=chr(87) + 'HERE a.label_numeric = 1')})"))
+@query("h2_corr_matrix", with_("long", body=f"SELECT sensor_a, sensor_b, n, {CLEAN_R} FROM ({PAIRS.format(where='WHERE a.label_numeric = 1')})"))
 def h2(spark, sf):
     m = stats.corr_matrix(failing(silver(spark, sf)), X.SENSORS)
     return rounded(m.withColumns({"sensor_a": F.substring("sensor_a", 2, 9), "sensor_b": F.substring("sensor_b", 2, 9)}))
@@ -304,7 +310,6 @@ def h17(spark, sf):
 @query("f13_failures_from_end", with_("staged", body="""SELECT observation_id, row_number() OVER (ORDER BY process_timestamp DESC, observation_id DESC) AS seq
   FROM staged WHERE label_numeric = 1"""))
 def f13(spark, sf):
-    from fabspark.operators.ordering import positions
     f = failing(staged(spark, sf)).select("observation_id", "process_timestamp", F.lit(0).alias("all"))
     return positions(f, ["all"], [F.desc("process_timestamp"), F.desc("observation_id")]).select("observation_id", "seq")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabspark.functions import schemas
@@ -15,9 +15,13 @@ def log_event(rows: DataFrame, path: str) -> None:
     rows.to(schemas.EVENT_LOG).write.mode("append").parquet(path)
 
 
-def events_window(events: DataFrame, hours: int, line: str | None = None) -> DataFrame:
-    """Events of the last hours before the newest one, newest first."""
-    e = trailing(events, "ts", f"'{hours}' HOUR")
+def events_window(events: DataFrame, hours: int, line: str | None = None,
+                  now: Column | None = None) -> DataFrame:
+    """Events of the last hours before ``now`` (by default the newest event), newest first."""
+    if now is None:
+        e = trailing(events, "ts", f"'{hours}' HOUR")
+    else:
+        e = events.filter(F.col("ts") >= now - F.expr(f"INTERVAL '{int(hours)}' HOUR"))
     if line is not None:
         e = e.filter(F.col("line_id") == line)
     return e.orderBy(F.desc("ts"), F.desc("id"))

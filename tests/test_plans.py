@@ -32,7 +32,7 @@ def test_rules_share_one_shuffle_and_sort(spark):
 
 
 def test_first_readings_are_cut_before_the_shuffle(spark):
-    t = tree(spc._screened(R.long(spark, SF, R.BARE), ["line_id", "tester_id", "sensor_id"], 100))
+    t = tree(spc.screened(R.long(spark, SF, R.BARE), ["line_id", "tester_id", "sensor_id"], 100))
     assert t.count("WindowGroupLimit") == 2 and t.index("Exchange") < t.rindex("WindowGroupLimit")
 
 
