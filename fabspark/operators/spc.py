@@ -23,6 +23,27 @@ TIME = ["process_timestamp", "observation_id"]
 REACH = max(K.RULE_SPANS.values()) - 1
 
 
+def early_days(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
+    """Readings up to the day on which each group has its first ``readings``.
+
+    Counts per group and day say which days that are. The latest of them goes into
+    the filter as a literal, so the scan that follows leaves later data out and
+    only the opening days are sorted, however long the history is.
+    """
+    long = long.filter(F.col("val").isNotNull())
+    day = F.to_date("process_timestamp")
+    before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    counts = long.groupBy(*by, day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    until = settled(
+        counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .filter(F.col("_before") < readings).groupBy(*by).agg(F.max("_day").alias("_until")), "until")
+    last = until.agg(F.date_add(F.max("_until"), 1).cast("string")).first()[0]
+    if last is None:
+        return long.limit(0)
+    early = long.filter(F.col("process_timestamp") < F.lit(last).cast("timestamp_ntz"))
+    return join_on(early, until, list(by)).filter(day <= F.col("_until")).drop("_until")
+
+
 def screened(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
     """Mean and spread of the first readings per group, without raw outliers.
 
@@ -30,8 +51,7 @@ def screened(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
     shuffle; the raw statistics then run over at most N rows per group.
     """
     w = Window.partitionBy(*by).orderBy(*TIME)
-    first = (long.filter(F.col("val").isNotNull())
-             .select(*by, *TIME, "val")
+    first = (early_days(long.select(*by, *TIME, "val"), by, readings)
              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= readings))
     g = Window.partitionBy(*by)
     v = F.col("val")

@@ -33,7 +33,12 @@ def test_rules_share_one_shuffle_and_sort(spark):
 
 def test_first_readings_are_cut_before_the_shuffle(spark):
     t = tree(spc.screened(R.long(spark, SF, R.BARE), ["line_id", "tester_id", "sensor_id"], 100))
-    assert t.count("WindowGroupLimit") == 2 and t.index("Exchange") < t.rindex("WindowGroupLimit")
+    assert t.count("WindowGroupLimit") == 2 and t.rindex("WindowGroupLimit") > t.index(" Exchange")
+
+
+def test_baseline_scan_leaves_later_data_out(spark):
+    text = plan(spc.screened(R.long(spark, SF, R.BARE), ["line_id", "tester_id", "sensor_id"], 5))
+    assert "LessThan(ts,2024-01" in text
 
 
 def test_pareto_scans_once(spark):
