@@ -26,7 +26,7 @@ def line_of(user: str = "user_id"):
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide observations, one row per event, in the column names of bronze."""
     m = F.col("user_id") % 3
-    k = F.get_json_object("props", "$.k").cast("double")
+    k = F.regexp_extract("props", '"k": ([0-9]+)', 1).cast("double")
     value = F.col("value")
     hour = F.hour("ts")
     return table(spark, sf_dir, "events").select(
