@@ -38,8 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="fabspark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fabspark-"))
+        base = sc.getCheckpointDir()
     return os.path.join(base, "fabspark", sc.applicationId)
 
 
