@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabspark.llm import bpe, minhash, rules
+from fabspark.llm import bpe, minhash, mixing, rules, secret_scan
 from fabspark.llm.registry import query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -45,3 +45,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), bpe.read_ranks(VOCABULARY), public_tokenizers.PATTERN,
                       ids=False)
+
+
+
+@query("op6_mix_sources")
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.taken(docs, mixing.cyclic_weights(docs))
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
