@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabspark.llm import bpe, minhash, mixing, rules, secret_scan
+from fabspark.llm import bpe, minhash, mixing, pii, rules, secret_scan
 from fabspark.llm.registry import query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -57,3 +57,9 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_secret_scan")
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.scan(docs, pii.fit(docs)))

@@ -80,8 +80,27 @@ def joined(spans: str | Column, kinds: list[str]) -> Column:
 
 
 def apart(spans: Column, others: Column) -> Column:
-    """The spans that overlap none of the others."""
-    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (s["start"] < o["end"]) & (o["start"] < s["end"])))
+    """The spans that overlap none of the others: one sweep forth and one back over both."""
+    tagged = lambda a, more: F.transform(a, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(more).alias("more"), s["kind"].alias("kind"), s["end"].alias("end")))
+    both = F.sort_array(F.concat(tagged(others, False), tagged(spans, True)))
+    flags = F.array().cast("array<boolean>")
+
+    def forth(acc: Column, s: Column) -> Column:
+        reach = F.when(s["more"], acc["at"]).otherwise(F.greatest(acc["at"], s["end"]))
+        return F.struct(reach.alias("at"), F.array_append(acc["out"], s["more"] & (s["start"] >= acc["at"])).alias("out"))
+
+    def back(acc: Column, s: Column) -> Column:
+        reach = F.when(s["more"], acc["at"]).otherwise(F.least(acc["at"], s["start"]))
+        return F.struct(reach.alias("at"), F.array_append(acc["out"], s["more"] & (s["end"] <= acc["at"])).alias("out"))
+
+    start = lambda at: F.struct(F.lit(at).cast("long").alias("at"), flags.alias("out"))
+    before = F.aggregate(both, start(-1), forth, lambda acc: acc["out"])
+    after = F.reverse(F.aggregate(F.reverse(both), start((1 << 62)), back, lambda acc: acc["out"]))
+    free = F.zip_with(before, after, lambda x, y: x & y)
+    kept = F.filter(F.zip_with(both, free, lambda s, ok: s.withField("more", ok)), lambda s: s["more"])
+    swept = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return F.when((F.size(others) == 0) | (F.size(spans) == 0), spans).otherwise(swept.cast(SPAN))
 
 
 def masked(text: str | Column, spans: str | Column, marks: list[str]) -> Column:
