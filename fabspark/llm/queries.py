@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabspark.llm import bpe, minhash, mixing, pii, rules, secret_scan
+from fabspark.llm import bpe, classifier, lbl, minhash, mixing, pii, rules, secret_scan
 from fabspark.llm.registry import query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -63,3 +63,15 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.digest(pii.scan(docs, pii.fit(docs)))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    vectors, net = classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return classifier.predict(docs, vectors, net)
+
+
+@query("op7_lm_score")
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.score(table(spark, sf_dir, "documents"))
