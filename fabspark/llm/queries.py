@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabspark.llm import bpe, classifier, lbl, minhash, mixing, pii, rules, secret_scan
+from fabspark.llm import bpe, classifier, flatgraph, lbl, minhash, mixing, pii, rules, secret_scan
 from fabspark.llm.registry import query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -75,3 +75,8 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_lm_score")
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score(table(spark, sf_dir, "documents"))
+
+
+@query("op9_embedding_near_dedup")
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
