@@ -222,3 +222,17 @@ def taken(docs: DataFrame, weights: DataFrame, *, text: str = "text", key: str =
     return p.assign(sizes, "_key", "source").select(
         F.col("_key").alias(key), "size", F.col("_mix_words").alias("source_size"), F.col("_mix_target").alias("target"),
         (F.col("size") * F.size("_mix_shards")).cast("long").alias("taken"), F.col("_mix_shards").alias("shards"))
+
+
+def corpus(docs: DataFrame, weights: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source",
+           shard_words: int = 4_000_000, **how) -> DataFrame:
+    """The mixed corpus, dealt to shards of about ``shard_words`` words and shuffled within each.
+
+    One row per copy taken, with all columns of ``docs``, ``shard`` and ``place``.
+    """
+    sizes = settled(docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{source}`").alias("source"),
+                                words(F.col(f"`{text}`")).alias("size")), "sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    shards = max(1, -(-total // shard_words))
+    p = plan(sizes, weights, key="_key", shards=shards, **how)
+    return mix(docs, p, key=key, source=source).repartition(shards, "shard").sortWithinPartitions("shard", "place")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabspark.llm import bpe, classifier, flatgraph, lbl, minhash, mixing, pii, rules, secret_scan
+from fabspark.llm import bpe, classifier, flatgraph, lbl, licenses, minhash, mixing, pii, rules, secret_scan
 from fabspark.llm.registry import query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -80,3 +80,8 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_embedding_near_dedup")
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_license_scan", licenses.sql())
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
