@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabspark.llm import bpe, minhash, rules
+from fabspark.llm import bpe, minhash, mixing, pii, rules
 from fabspark.session import settled
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,6 +28,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return minhash.deduplicated(docs).select(*COLUMNS)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by marks; ``n_chars`` follows the text."""
+    out = pii.redacted(docs.select(*COLUMNS), pii.fit(docs))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at weights 1, 2, 3 in turn: a document appears as often as it is taken, shards are shuffled."""
+    return mixing.corpus(docs, mixing.cyclic_weights(docs)).select(*COLUMNS)
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the bytes they decode to."""
     return bpe.encode(docs, bpe.read_ranks(VOCABULARY), public_tokenizers.PATTERN, keep=["lang", "source"])
@@ -36,6 +47,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality_rules),
     ("minhash near-dedup", near_duplicates),
+    ("pii", personal_data),
+    ("source mix", mix_sources),
     ("byte-level bpe", byte_bpe),
 ]
 
