@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from fabspark.llm.text import Texts, Words, distinct, mix, span_hashes, texts
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 13
 TRUSTED_DOCS = 20_000  # bound of the trusted sample; every row counts for the corpus
 SMOOTHING = 1.0
-THRESHOLD = -0.08  # natural logs per n-gram
+THRESHOLD = -0.06  # natural logs per n-gram
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
