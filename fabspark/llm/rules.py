@@ -21,8 +21,8 @@ from fabspark.llm.text import Texts, Words, distinct, mix, span_hashes, texts
 
 BUCKETS = 1 << 13
 TRUSTED_DOCS = 20_000  # bound of the trusted sample; every row counts for the corpus
-SMOOTHING = 1.0
-THRESHOLD = -0.06  # natural logs per n-gram
+SMOOTHING = 8.0  # n-grams a bucket
+THRESHOLD = -0.055  # natural logs per n-gram
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -136,10 +136,18 @@ def fit(docs: DataFrame, trusted: DataFrame, *, text: str = "text", key: str = "
         .groupBy("bucket").agg(F.sum("corpus").alias("corpus"), F.sum("trusted").alias("trusted")).toArrow()
     total = np.zeros((2, buckets))
     total[:, rows["bucket"].to_numpy()] = rows["corpus"].to_numpy(), rows["trusted"].to_numpy()
-    if not total[1].any():
-        return Ratio(np.zeros(buckets))
-    share = (total + smoothing) / (total + smoothing).sum(axis=1, keepdims=True)
-    return Ratio(np.log(share[1] / share[0]))
+    return Ratio(ratios(total[0], total[1], smoothing))
+
+
+def ratios(corpus: np.ndarray, trusted: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
+    """Log of trusted over corpus share; ``smoothing`` n-grams a bucket are added to the trusted ones as the
+    corpus has them, so few trusted n-grams give ratios near 0. 0 where the corpus has none."""
+    if not corpus.any():
+        return np.zeros(len(corpus))
+    share = corpus / corpus.sum()
+    prior = smoothing * len(corpus)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(share > 0, np.log((trusted + prior * share) / (trusted.sum() + prior) / share), 0.0)
 
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"

@@ -15,21 +15,22 @@ _STEP = 128  # running sums are taken in steps, as appending to a long array cop
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
-def _running(a: Column, start: Column) -> Column:
-    """``start`` plus the sum of the elements before each."""
-    add = lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.array_append(acc["out"], acc["sum"]).alias("out"))
-    return F.aggregate(a, F.struct(start.alias("sum"), F.array().cast("array<bigint>").alias("out")), add,
-                       lambda acc: acc["out"])
+def running(a: Column) -> Column:
+    """For each element of an array of longs, the sum of those before it.
 
+    Sums are gathered in steps, as appending to a long array copies it.
+    """
+    none = F.array().cast("array<bigint>")
 
-def running(a: Column) -> Column:
-    """For each element of an array of longs, the sum of those before it."""
-    zero = F.lit(0).cast("long")
-    parts = F.transform(F.sequence(zero, F.floor((F.size(a) - 1) / _STEP)),
-                        lambda b: F.slice(a, (b * _STEP + 1).cast("int"), F.lit(_STEP)))
-    sums = F.transform(parts, lambda p: F.aggregate(p, zero, lambda x, y: x + y))
-    whole = F.flatten(F.zip_with(parts, _running(sums, zero), _running))
-    return F.when(F.size(a) > 0, whole).otherwise(F.array().cast("array<bigint>"))
+    def add(acc: Column, x: Column) -> Column:
+        full = F.size(acc["part"]) >= _STEP
+        return F.struct((acc["sum"] + x).alias("sum"),
+                        F.when(full, F.array(acc["sum"])).otherwise(F.array_append(acc["part"], acc["sum"])).alias("part"),
+                        F.when(full, F.array_append(acc["parts"], acc["part"])).otherwise(acc["parts"]).alias("parts"))
+
+    start = F.struct(F.lit(0).cast("long").alias("sum"), none.alias("part"),
+                     F.array().cast("array<array<bigint>>").alias("parts"))
+    return F.aggregate(a, start, add, lambda acc: F.flatten(F.array_append(acc["parts"], acc["part"])))
 
 
 def with_matches(df: DataFrame, text: str, patterns: dict[str, tuple[str, Column]], context: int = 0) -> DataFrame:
@@ -39,23 +40,25 @@ def with_matches(df: DataFrame, text: str, patterns: dict[str, tuple[str, Column
     not run and the array is empty. With ``context``, also so many characters
     before and after, up to the neighbouring matches.
     """
+    # Lambdas refer to their own arguments only: a column named inside one may be put in as its whole expression by
+    # the optimizer, and then be computed for every element.
     none = F.array().cast("array<string>")
     df = df.withColumns({f"_{n}_{k}": F.when(guard, f).otherwise(none) for n, (p, guard) in patterns.items()
                          for k, f in (("m", F.regexp_extract_all(text, F.lit(p), F.lit(0))),
                                       ("g", F.split(text, p, -1)))})
+    count = {n: F.size(f"_{n}_m") for n in patterns}
+    gap = {n: (F.slice(f"_{n}_g", F.lit(1), count[n]), F.slice(f"_{n}_g", F.lit(2), count[n])) for n in patterns}
+    df = df.withColumns({f"_{n}_s": running(F.zip_with(f"_{n}_m", gap[n][0], lambda m, g: (
+        F.length(m) + F.length(g)).cast("long"))) for n in patterns})
 
-    def lengths(n: str) -> Column:
-        return F.transform(f"_{n}_m", lambda m, i: (F.length(m) + F.length(F.get(f"_{n}_g", i))).cast("long"))
-
-    df = df.withColumns({f"_{n}_s": running(lengths(n)) for n in patterns})
+    def made(x: Column) -> Column:
+        start = x["s"] + F.length(x["b"])
+        more = [F.right(x["b"], F.lit(context)).alias("before"), F.left(x["a"], F.lit(context)).alias("after")] if context else []
+        return F.struct(start.alias("start"), (start + F.length(x["m"])).alias("end"), x["m"].alias("text"), *more)
 
     def one(n: str) -> Column:
-        def made(m: Column, i: Column) -> Column:
-            start = F.get(f"_{n}_s", i) + F.length(F.get(f"_{n}_g", i))
-            more = [F.right(F.get(f"_{n}_g", i), F.lit(context)).alias("before"),
-                    F.left(F.get(f"_{n}_g", i + 1), F.lit(context)).alias("after")] if context else []
-            return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("text"), *more)
-        return F.transform(f"_{n}_m", made)
+        return F.transform(F.arrays_zip(F.col(f"_{n}_m").alias("m"), F.col(f"_{n}_s").alias("s"), gap[n][0].alias("b"),
+                                        gap[n][1].alias("a")), made)
 
     return df.withColumns({n: one(n) for n in patterns}) \
         .drop(*(f"_{n}_{k}" for n in patterns for k in "mgs"))
