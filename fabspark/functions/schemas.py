@@ -63,13 +63,13 @@ EVENT_LOG = T.StructType([
 ])
 
 
-def sensor_columns(df: DataFrame) -> list[str]:
-    """Numeric columns that hold readings: all but time and label."""
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.NumericType) and f.name not in NOT_SENSORS]
+def sensor_columns(df: DataFrame, other: Sequence[str] = ()) -> list[str]:
+    """Numeric columns that hold readings: all but time, label and the ``other`` ones named (keys, counters)."""
+    drop = NOT_SENSORS | set(other)
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in drop]
 
 
-def shared_sensors(a: DataFrame, b: DataFrame) -> list[str]:
-    """Sensor columns of ``a`` that ``b`` has too, short names only, in ``a``'s order."""
-    there = set(sensor_columns(b))
-    return [c for c in sensor_columns(a) if c in there and len(c) <= 5]
+def shared_sensors(a: DataFrame, b: DataFrame, other: Sequence[str] = ()) -> list[str]:
+    """Sensor columns of ``a`` that ``b`` has too, in ``a``'s order."""
+    there = set(sensor_columns(b, other))
+    return [c for c in sensor_columns(a, other) if c in there]

@@ -155,11 +155,12 @@ def corr_matrix(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
                        F.get(names, F.col("_p.b")).alias("sensor_b"), "n", "r")
 
 
-def collinear(matrix: DataFrame, threshold: float = 0.70, k: int = 6) -> DataFrame:
-    """Sensors with a partner at or above ``threshold``, strongest first, first ``k``."""
+def collinear(matrix: DataFrame, threshold: float = 0.70, k: int | None = None) -> DataFrame:
+    """Sensors with a partner at or above ``threshold``, strongest first; the first ``k`` if given."""
     best = matrix.filter(F.col("sensor_a") != F.col("sensor_b")).groupBy(
         F.col("sensor_a").alias("sensor_id")).agg(F.max(F.abs("r")).alias("max_abs_r"))
-    return best.filter(F.col("max_abs_r") >= threshold).orderBy(F.desc("max_abs_r"), "sensor_id").limit(k)
+    out = best.filter(F.col("max_abs_r") >= threshold).orderBy(F.desc("max_abs_r"), "sensor_id")
+    return out if k is None else out.limit(k)
 
 
 def spearman(df: DataFrame, sensors: Sequence[str]) -> DataFrame:

@@ -61,7 +61,8 @@ def a2(spark, sf):
 @query("a3_path_list_scan", with_("bronze", body="SELECT observation_id, line_id FROM bronze"))
 def a3(spark, sf):
     base = _landing(spark, sf)
-    listed = ",".join(f"{base}/line_id={x}" for x in ("LINE_A", "LINE_B", "LINE_C"))
+    b = X.bronze(spark, sf).select("line_id").distinct()  # one row per line
+    listed = ",".join(f"{base}/line_id={r.line_id}" for r in b.collect())
     return files.read_paths(spark, listed, base, LANDING).select("observation_id", "line_id")
 
 
@@ -88,7 +89,7 @@ def a6(spark, sf):
 def a7(spark, sf):
     db = "bronze_" + uuid.uuid4().hex[:12]
     b = X.bronze(spark, sf).withColumnRenamed("Pass/Fail", "label")
-    early = F.col("Time") < F.lit("2024-01-15").cast("timestamp_ntz")
+    early = F.coalesce(F.col("Time") < F.lit("2024-01-15").cast("timestamp_ntz"), F.lit(True))
     for part in (b.filter(early), b.filter(~early)):
         tables.append_bronze(part, f"{db}.wafers", f"{shared_dir(spark)}/{db}")
     return spark.table(f"{db}.wafers").select("observation_id", "line_id", "s424")
@@ -250,14 +251,67 @@ def l4(spark, sf):
 def l3(spark, sf):
     path, out = new_path(spark, "messages"), new_path(spark, "accepted")
     m = _messages(spark, sf)
-    m.write.text(path)
+    old = F.get_json_object("value", "$.generation_timestamp") < "2024-01-20"
+    m.filter(~old).write.text(path)
+    m.filter(old).write.mode("append").text(path)  # announced days late
     m.write.mode("append").text(path)  # every message is delivered again
-    q = intake.start(intake.stream_messages(spark, path, max_files=4, delay="60 days"),
-                     lambda b, i: tables.overwrite_batch(b, out, i), new_path(spark, "position"))
-    q.awaitTermination()
+    position = new_path(spark, "position")
+
+    def work(batch, i):
+        run = tables.run_id(spark, position)
+        tables.overwrite_batch(intake.accept(batch, f"{out}-state", run, i), out, run, i)
+
+    intake.start(intake.stream_messages(spark, path, max_files=4), work, position).awaitTermination()
     return spark.read.parquet(out).select("file_path", "line_id", "batch_size")
 
 
+@query("l4_rejected_messages", with_("bronze", body=f"""SELECT 'no file' AS message, count(*) AS n FROM ({MSG}) UNION ALL
+  SELECT 'not json', count(*) FROM ({MSG}) UNION ALL SELECT 'accepted', count(*) FROM ({MSG})"""))
+def l4_rejected(spark, sf):
+    """Per announcement one message without a path and one that is no JSON; times cannot be read either."""
+    path, root, position = new_path(spark, "messages"), new_path(spark, "intake"), new_path(spark, "position")
+    m = _messages(spark, sf)
+    bad_time = F.regexp_replace("value", '"generation_timestamp":"[^"]*"', '"generation_timestamp":"not a time"')
+    m.select(bad_time.alias("value")).union(m.select(F.regexp_replace("value", '"file_path":"[^"]*",', ""))) \
+        .union(m.select(F.concat(F.lit("not json "), F.col("value")))).write.text(path)
+
+    def work(batch, i):
+        intake.accept(batch, root, tables.run_id(spark, position), i)
+
+    intake.start(intake.stream_messages(spark, path), work, position).awaitTermination()
+    kind = F.when(F.col("message").startswith("not json"), "not json").otherwise("no file")
+    bad = spark.read.schema("message string").parquet(f"{root}/rejected").groupBy(kind.alias("message")).agg(F.count("*").alias("n"))
+    good = spark.read.schema("file_path string").parquet(f"{root}/accepted").agg(F.count("*").alias("n"))
+    return bad.unionByName(good.select(F.lit("accepted").alias("message"), "n"))
+
+
+@query("l5_message_driven", with_("bronze", body="""SELECT observation_id, line_id, s424, '0.1.0' AS pipeline_version FROM bronze"""))
+def l5_messages(spark, sf):
+    """Every landing file announced twice, under two schemes; bronze has each row once."""
+    base, root, bronze = _landing(spark, sf), new_path(spark, "intake"), new_path(spark, "bronze")
+    path, position = new_path(spark, "messages"), new_path(spark, "position")
+    landed = files.with_source_file(files.read_landing(spark, [base], base, LANDING)).select("source_file").distinct()
+    name = F.regexp_extract("source_file", "(line_id=.*)$", 1)
+    for scheme in ("s3://", "s3a://"):
+        landed.select(F.to_json(F.struct(F.concat(F.lit(scheme), name).alias("file_path"))).alias("value")) \
+            .coalesce(2).write.mode("append").text(path)
+    intake.ingest_messages(intake.stream_messages(spark, path, max_files=2), root, bronze, base, LANDING, position, "0.1.0") \
+        .awaitTermination()
+    return spark.read.parquet(bronze).select("observation_id", "line_id", "s424", "pipeline_version")
+
+
+@query("l5_second_checkpoint", with_("bronze", body="SELECT observation_id, line_id FROM bronze"))
+def l5_second(spark, sf):
+    """Two streams with checkpoints of their own append to one bronze table."""
+    out, b = new_path(spark, "bronze"), _batch(spark, sf)
+    for half in (F.col("observation_id") % 2 == 0, F.col("observation_id") % 2 != 0):
+        base = new_path(spark, "landing")
+        files.write_landing(b.filter(half), base)
+        intake.ingest(intake.stream_landing(spark, base, LANDING, max_files=40), out, new_path(spark, "position"), "0.1.0") \
+            .awaitTermination()
+    return spark.read.parquet(out).select("observation_id", "line_id")
+
+
 def _ingested(spark, sf, after=None):
     base, out = _landing(spark, sf), new_path(spark, "bronze")
     s = intake.stream_landing(spark, base, LANDING, max_files=20)
@@ -299,9 +353,9 @@ def l6_days(spark, sf):
 def l7(spark, sf):
     base, root = new_path(spark, "readings"), new_path(spark, "spc")
     s, files_each = silver(spark, sf), 4
-    for lo, hi in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2025-01-01")):
-        t = F.col("process_timestamp")
-        part = s.filter((t >= F.lit(lo).cast("timestamp_ntz")) & (t < F.lit(hi).cast("timestamp_ntz")))
+    t = F.col("process_timestamp")
+    early, late = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-11", "2024-01-21"))
+    for part in (s.filter(F.coalesce(t < early, F.lit(True))), s.filter((t >= early) & (t < late)), s.filter(t >= late)):
         part.repartition(files_each).write.mode("append").parquet(base)
     rows = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", files_each).parquet(base)
     stream.stream_spc(to_long(rows, X.SENSORS, LONG_KEYS, "s"), gold(spark, sf, "limits"), root,

@@ -33,9 +33,9 @@ def h1(spark, sf):
     return _pareto(spark, sf)
 
 
-@query("i5_top_directions", with_("long", body=f"SELECT rank, sensor_id, direction FROM ({PARETO}) ORDER BY rank LIMIT 3"))
+@query("i5_top_directions", with_("long", body=f"SELECT rank, sensor_id, direction FROM ({PARETO}) ORDER BY rank LIMIT 5"))
 def i5(spark, sf):
-    return _pareto(spark, sf).orderBy("rank").limit(3).select("rank", "sensor_id", "direction")
+    return _pareto(spark, sf).orderBy("rank").limit(5).select("rank", "sensor_id", "direction")
 
 
 @query("i2_top_sensors", with_("long", body=f"SELECT rank, sensor_id, correlation FROM ({PARETO}) ORDER BY rank LIMIT 20"))
@@ -68,14 +68,15 @@ def h2(spark, sf):
     return rounded(m.withColumns({"sensor_a": F.substring("sensor_a", 2, 9), "sensor_b": F.substring("sensor_b", 2, 9)}))
 
 
-EMB = """emb AS (SELECT vec_id, CAST(i - 1 AS INTEGER) AS i, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 65) t(i))"""
+EMB = """emb AS (SELECT vec_id, CAST(i - 1 AS INTEGER) AS i, v::DOUBLE AS v
+  FROM (SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS v FROM embeddings))"""
 
 
 @query("h2_corr_matrix_wide", f"""WITH {EMB} SELECT 'e' || lpad(CAST(a.i AS VARCHAR), 3, '0') AS sensor_a,
   'e' || lpad(CAST(b.i AS VARCHAR), 3, '0') AS sensor_b, count(*) AS n, round(corr(a.v, b.v), 6) AS r
   FROM emb a JOIN emb b USING (vec_id) WHERE a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY ALL""")
 def h2_wide(spark, sf):
-    wide = X.embedding_sensors(spark, sf, 64)
+    wide = X.embedding_sensors(spark, sf)
     return rounded(stats.corr_matrix(wide, [c for c in wide.columns if c.startswith("e")]))
 
 

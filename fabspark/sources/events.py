@@ -39,11 +39,24 @@ def batches_per_line(events: DataFrame, batch: str = "BATCH") -> DataFrame:
         F.count(F.lit(1)).alias("batches"))
 
 
+def decode_events(messages: DataFrame, text: str = "value") -> DataFrame:
+    """Decoded JSON messages with their text as ``message``; what cannot be read is NULL.
+
+    The scheme is stripped off the file path, so one file has one name.
+    """
+    raw = F.col(text).cast("string")
+    e = messages.select(raw.alias("message"), F.from_json(raw, schemas.EVENT_MESSAGE).alias("e")).select("message", "e.*")
+    return e.withColumn("file_path", F.nullif(F.trim(F.regexp_replace("file_path", "^s3a?://", "")), F.lit("")))
+
+
 def parse_events(messages: DataFrame, text: str = "value") -> DataFrame:
-    """Decode JSON messages and strip the scheme off the file path."""
-    e = messages.select(F.from_json(F.col(text).cast("string"), schemas.EVENT_MESSAGE).alias("e")).select("e.*")
-    return e.filter(F.col("file_path").isNotNull()).withColumn(
-        "file_path", F.regexp_replace("file_path", "^s3://", ""))
+    """Messages that name a file."""
+    return decode_events(messages, text).filter(F.col("file_path").isNotNull()).drop("message")
+
+
+def rejected_events(messages: DataFrame, text: str = "value") -> DataFrame:
+    """The text of messages that are no JSON or name no file."""
+    return decode_events(messages, text).filter(F.col("file_path").isNull()).select("message")
 
 
 def latest_batch(df: DataFrame, line: str | None = None, offset: int = 0,

@@ -13,10 +13,13 @@ from fabspark.functions import schemas
 
 
 def read_raw_csv(spark: SparkSession, path: str, sensors: Sequence[str],
-                 extra: Sequence[T.StructField] = ()) -> DataFrame:
-    """Raw baseline with typed time; the text ``NaN`` becomes NULL like an empty cell."""
+                 extra: Sequence[T.StructField] = (), mode: str = "FAILFAST") -> DataFrame:
+    """Raw baseline with typed time; the text ``NaN`` becomes NULL like an empty cell.
+
+    A number or time that cannot be read is an error; with ``mode="PERMISSIVE"`` it becomes NULL.
+    """
     schema = T.StructType([*schemas.raw_schema(sensors).fields, *extra])
-    df = (spark.read.schema(schema).option("header", True)
+    df = (spark.read.schema(schema).option("header", True).option("mode", mode)
           .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
     gaps = {f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)}
     return df.select(*[

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,19 @@ def append_bronze(df: DataFrame, table: str, location: str | None = None) -> Non
     df.write.mode("append").format("parquet").saveAsTable(table)
 
 
-def overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch of a stream; a replayed batch replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the stream that owns a checkpoint; it stays the same over restarts from that checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def batch_path(path: str, run: str, batch_id: int) -> str:
+    return f"{path}/run={run}/batch_id={batch_id}"
+
+
+def overwrite_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """Write one batch of a stream; a replayed batch replaces itself, and only itself: another stream into the
+    same table has another run id."""
+    df.write.mode("overwrite").parquet(batch_path(path, run, batch_id))
 
 
 def materialize(df: DataFrame, table: str, partition_by: Sequence[str] = (),

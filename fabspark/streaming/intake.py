@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from fabspark.sources.events import parse_events
-from fabspark.sources.files import with_ingest_meta, with_source_file
-from fabspark.sources.tables import overwrite_batch
+from fabspark.session import drop_path, scratch, settled
+from fabspark.sources.events import parse_events, rejected_events
+from fabspark.sources.files import conform, read_landing, with_ingest_meta, with_source_file
+from fabspark.sources.tables import batch_path, overwrite_batch, run_id
 
 
 def stream_landing(spark: SparkSession, base: str, schema: T.StructType, max_files: int = 5) -> DataFrame:
@@ -21,14 +22,67 @@ def stream_landing(spark: SparkSession, base: str, schema: T.StructType, max_fil
     return with_source_file(s)
 
 
-def stream_messages(spark: SparkSession, path: str, max_files: int = 5, delay: str = "1 hour") -> DataFrame:
-    """Decoded event messages; a redelivered file announcement is dropped.
+def stream_messages(spark: SparkSession, path: str, max_files: int = 5) -> DataFrame:
+    """Event messages as text, however late; see ``accept``."""
+    return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
 
-    Repeats are looked for within ``delay`` of event time, which bounds the state.
+
+def _day() -> Column:
+    """Landing day of a file by its path; empty for a path without one."""
+    day = r"year=(\d+)/month=(\d+)/day=(\d+)"
+    return F.concat_ws("-", *(F.nullif(F.regexp_extract("file_path", day, i), F.lit("")) for i in (1, 2, 3)))
+
+
+def accept(messages: DataFrame, root: str, run: str, batch_id: int) -> DataFrame:
+    """The announcements of a micro-batch whose files are new; nothing is too late.
+
+    Accepted paths are kept in ``root/accepted`` by landing day, and only the days
+    in the batch are looked up. Messages that cannot be read go to
+    ``root/rejected``. Both are written under the batch's id, which a replay
+    leaves out of the lookup and replaces.
+    """
+    spark = messages.sparkSession
+    overwrite_batch(rejected_events(messages), f"{root}/rejected", run, batch_id)
+    e = parse_events(messages).withColumn("generated_at", F.try_to_timestamp("generation_timestamp")) \
+        .withColumn("landing_day", _day())
+    first = Window.partitionBy("file_path").orderBy(F.col("generated_at").asc_nulls_last(), "line_id")
+    new = settled(e.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn"), "messages")
+    schema = "file_path string, landing_day string, run string, batch_id string"
+    own = batch_path(f"{root}/accepted", run, batch_id)
+    drop_path(spark, own)
+    days = [r[0] for r in new.select("landing_day").distinct().collect()]  # few: those that files landed on
+    if exists(spark, f"{root}/accepted"):
+        known = spark.read.schema(schema).parquet(f"{root}/accepted").filter(F.col("landing_day").isin(days)) \
+            .select("file_path")
+        new = new.join(known, "file_path", "left_anti")
+    new = settled(new, "accepted")
+    new.select("file_path", "landing_day").write.mode("overwrite").partitionBy("landing_day").parquet(own)
+    return new
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def ingest_messages(messages: DataFrame, root: str, bronze: str, base: str, schema: T.StructType, checkpoint: str,
+                    version: str, every: str | None = None) -> StreamingQuery:
+    """Message-driven intake: read exactly the files announced, conform them, append them to bronze.
+
+    Announced paths may be relative to ``base``.
     """
-    text = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
-    e = parse_events(text).withColumn("generated_at", F.to_timestamp("generation_timestamp"))
-    return e.withWatermark("generated_at", delay).dropDuplicatesWithinWatermark(["file_path"])
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = run_id(spark, checkpoint)
+        with scratch(spark):
+            paths = [r[0] for r in accept(batch, root, run, batch_id).select("file_path").collect()]
+            full = [p if p.startswith(("/", base)) or "://" in p else f"{base}/{p}" for p in paths]
+            if full:
+                rows = with_source_file(read_landing(spark, sorted(full), base, schema))
+                rows = conform(rows, T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
+                overwrite_batch(with_ingest_meta(rows, version), bronze, run, batch_id)
+
+    return start(messages, work, checkpoint, every)
 
 
 def start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str,
@@ -43,13 +97,15 @@ def ingest(stream: DataFrame, bronze: str, checkpoint: str, version: str,
            after: Callable[[DataFrame, int], None] | None = None, every: str | None = None) -> StreamingQuery:
     """Append each micro-batch to bronze with lineage, then call ``after``.
 
-    A batch is written as its own ``batch_id`` folder, so a batch replayed after a
-    failure replaces itself and nothing is stored twice.
+    A batch is written as its own folder under the stream's id, so a batch
+    replayed after a failure replaces itself, and a second stream into the same
+    table replaces nothing of the first.
     """
     def work(batch: DataFrame, batch_id: int) -> None:
-        overwrite_batch(with_ingest_meta(batch, version), bronze, batch_id)
+        spark = batch.sparkSession
+        run = run_id(spark, checkpoint)
+        overwrite_batch(with_ingest_meta(batch, version), bronze, run, batch_id)
         if after is not None:
-            spark = batch.sparkSession
-            after(spark.read.parquet(f"{bronze}/batch_id={batch_id}"), batch_id)
+            after(spark.read.parquet(batch_path(bronze, run, batch_id)), batch_id)
 
     return start(stream, work, checkpoint, every)

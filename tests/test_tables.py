@@ -177,4 +177,6 @@ def test_sensor_columns(spark):
     df = spark.createDataFrame([(TS(2024, 1, 1), 1.0, 2, "x", -1)], "Time timestamp_ntz, `0` double, `589` int, lot string, `Pass/Fail` int")
     assert schemas.sensor_columns(df) == ["0", "589"]
     assert schemas.shared_sensors(df, df.drop("0")) == ["589"]
+    long = df.withColumn("chamber_pressure", df["0"]).withColumn("run_no", df["0"])
+    assert schemas.shared_sensors(long, long, ["run_no"]) == ["0", "589", "chamber_pressure"]
     assert len(schemas.raw_schema(schemas.sensor_names()).fields) == 592
