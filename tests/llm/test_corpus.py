@@ -115,13 +115,14 @@ def source_key(s):
     return (s is None, s or "")
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_targets_and_words_taken(spark, seed):
+@pytest.mark.parametrize(("seed", "block", "off"), [(1, 16, 300), (2, 256, 5)])
+def test_targets_and_words_taken(spark, seed, block, off):
+    """Off by less than the smallest document of the last block that is not taken: here 300 words, or next to none."""
     random.seed(seed)
     names = ["a", "B", "é", "z", "c1", "c2", None]
     rows = [(i, "w " * random.choice([0, 1, 5, 40, 300]), names[min(int(random.expovariate(0.6)), 6)]) for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
-    out = mixing.taken(df, mixing.cyclic_weights(df), block_rows=16).collect()
+    out = mixing.taken(df, mixing.cyclic_weights(df), block_rows=block).collect()
     size = {i: len(words(t)) for i, t, _ in rows}
     src = {i: s for i, _, s in rows}
     sizes = Counter()
@@ -136,8 +137,8 @@ def test_targets_and_words_taken(spark, seed):
         assert r.taken % max(r["size"], 1) == 0 and r.taken <= 3 * r["size"]
         taken[src[r.doc_id]] += r.taken
     for s in sizes:
-        assert abs(taken[s] - goal[s]) <= 0.02 * goal[s] + 1
-    again = {r.doc_id: r.taken for r in mixing.taken(df.repartition(2), mixing.cyclic_weights(df), block_rows=16).collect()}
+        assert abs(taken[s] - goal[s]) <= off
+    again = {r.doc_id: r.taken for r in mixing.taken(df.repartition(2), mixing.cyclic_weights(df), block_rows=block).collect()}
     assert again == {r.doc_id: r.taken for r in out}
 
 
@@ -159,9 +160,9 @@ def test_units_are_dealt_out_exactly(spark):
 def test_hypergeometric_quotas(spark):
     """Many trees: the mean and spread of a source's share on the left are those of drawing without replacement."""
     per = spark.createDataFrame([("a", 6), ("b", 14)], "source string, units long")
-    left = [{r.source: r.bounds[0] for r in mixing._dealt(per, 2, seed).collect()}["a"] for seed in range(60)]
+    left = [{r.source: r.bounds[0] for r in mixing._dealt(per, 2, seed).collect()}["a"] for seed in range(24)]
     mean, var = 10 * 6 / 20, 10 * 0.3 * 0.7 * 10 / 19
-    assert abs(np.mean(left) - mean) < 4 * math.sqrt(var / 60) and 0.4 * var < np.var(left) < 2 * var
+    assert abs(np.mean(left) - mean) < 4 * math.sqrt(var / 24) and 0.3 * var < np.var(left) < 2.5 * var
 
 
 def test_mix_on_odd_rows(spark):
