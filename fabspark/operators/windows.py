@@ -8,22 +8,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabspark.operators.ordering import join_on
-from fabspark.session import settled
 
 
 def trailing(df: DataFrame, ts: str, interval: str, by: Sequence[str] | None = None) -> DataFrame:
     """Rows within ``interval`` of the latest ``ts``, of each group or of the whole table.
 
     The whole-table anchor is one value and goes into the plan as a literal, so it
-    prunes partitions and reaches the scan. Group anchors are one row per group in
-    a settled table, whose size decides how it is joined. The filter then also
-    carries the earliest anchor as a literal for the scan.
+    prunes partitions and reaches the scan. Group anchors are one row per group,
+    aggregated in the plan and joined as their size at run time allows; nothing is
+    written. The filter also carries the earliest anchor as a literal for the scan.
     """
     span = F.expr(f"INTERVAL {interval}")
     if by is None:
         last = df.agg(F.max(ts).cast("string")).first()[0]
         return df.filter(F.lit(False)) if last is None else df.filter(F.col(ts) >= _lit(df, ts, last) - span)
-    anchors = settled(df.groupBy(*by).agg(F.max(ts).alias("_last")), "anchors")
+    anchors = df.groupBy(*by).agg(F.max(ts).alias("_last"))
     first = anchors.agg(F.min("_last").cast("string")).first()[0]
     if first is None:
         return df.filter(F.lit(False))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fabspark import constants as K
 from fabspark.operators import spc, staging, stats, yields
 from fabspark.operators.reshape import to_long
+from fabspark.session import scratch
 
 LONG_KEYS = ("observation_id", "process_timestamp", "line_id", "tester_id", "shift", "lot_id", "wafer_status")
 
@@ -40,7 +41,12 @@ def _write(df: DataFrame, root: str, name: str, by: Sequence[str] = ()) -> DataF
 
 
 def refresh(bronze: DataFrame, root: str, setup: Setup) -> dict[str, DataFrame]:
-    """Full rebuild of every silver and gold table under ``root``."""
+    """Full rebuild of every silver and gold table under ``root``; what is settled on the way is dropped."""
+    with scratch(bronze.sparkSession):
+        return _refresh(bronze, root, setup)
+
+
+def _refresh(bronze: DataFrame, root: str, setup: Setup) -> dict[str, DataFrame]:
     staged = staging.stage(bronze, setup.sensors, setup.key)
     t: dict[str, DataFrame] = {}
     t["reporting"] = _write(staging.reporting(staged, setup.max_missing), root, "reporting")
@@ -62,6 +68,11 @@ def refresh_days(bronze: DataFrame, changed: DataFrame, root: str, setup: Setup)
     The days of one intake are few (at most one row per calendar day) and go into
     the filter as literals; other date partitions are left as they are.
     """
+    with scratch(bronze.sparkSession):
+        _refresh_days(bronze, changed, root, setup)
+
+
+def _refresh_days(bronze: DataFrame, changed: DataFrame, root: str, setup: Setup) -> None:
     days = [r[0] for r in changed.select(F.to_date("Time").alias("d")).distinct().collect() if r[0]]
     if not days:
         return

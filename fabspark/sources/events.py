@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from fabspark.functions import schemas
 from fabspark.operators.windows import trailing
-from fabspark.session import settled
 
 
 def log_event(rows: DataFrame, path: str) -> None:
@@ -71,7 +70,7 @@ def latest_batch(df: DataFrame, line: str | None = None, offset: int = 0,
     w = Window.partitionBy("line_id").orderBy(F.desc(file))
     files = df.select("line_id", file).distinct().withColumn("_rn", F.row_number().over(w)).filter(
         F.col("_rn") == offset + 1).drop("_rn")
-    return df.join(settled(files, "files"), ["line_id", file], "left_semi")
+    return df.join(files, ["line_id", file], "left_semi")
 
 
 def batch_details(batch: DataFrame) -> DataFrame:

@@ -180,3 +180,24 @@ def test_sensor_columns(spark):
     long = df.withColumn("chamber_pressure", df["0"]).withColumn("run_no", df["0"])
     assert schemas.shared_sensors(long, long, ["run_no"]) == ["0", "589", "chamber_pressure"]
     assert len(schemas.raw_schema(schemas.sensor_names()).fields) == 592
+
+
+def test_reads_and_refresh_leave_nothing_behind(spark, tmp_path):
+    """Serving calls write no table, a rebuild drops what it settles."""
+    import os
+
+    from fabspark.operators.windows import trailing
+    from fabspark.plans import fixtures as X
+    from fabspark.plans.refresh import Setup, refresh
+    from fabspark.session import new_path, shared_dir
+    from pyspark.sql import functions as F
+
+    new_path(spark)
+    folder = shared_dir(spark).removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    before = sorted(os.listdir(folder))
+    b = X.bronze(spark, "/root/testdata/sf0.001")
+    trailing(b, "Time", "'7' DAY", ["line_id"]).count()
+    setup = Setup(X.SENSORS, X.SENSORS, X.SENSORS, X.MAX_MISSING, "s", F.col("observation_id"))
+    assert refresh(b, str(tmp_path / "lake"), setup)["daily"].count() > 0
+    assert sorted(os.listdir(folder)) == before
