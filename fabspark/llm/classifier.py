@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fabspark.llm.sample import by_hash
 from fabspark.llm.text import Texts, Words, mix, span_hashes, texts
 
 BUCKETS = 1 << 13
@@ -210,8 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "d
     """
     vectors = word_vectors(docs, text)
     chosen = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").cast("double").alias("_y")) \
-        .where("_key IS NOT NULL AND _y IS NOT NULL").where(~held_out("_key", fold)) \
-        .orderBy(F.xxhash64("_key"), "_key").limit(sample)
+        .where("_key IS NOT NULL AND _y IS NOT NULL").where(~held_out("_key", fold)).distinct()
+    chosen = by_hash(chosen, "_key", sample)
     rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")) \
         .join(F.broadcast(chosen), "_key").select("_y", "_text")
     shared = docs.sparkSession.sparkContext.broadcast(vectors)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fabspark.llm.components import components
+from fabspark.llm.sample import by_hash
 from fabspark.session import settled
 
 COSINE = 0.98
@@ -260,7 +261,7 @@ def _searched(nodes: DataFrame, cosine: float, shard_size: int) -> DataFrame:
 
 def audit(nodes: DataFrame, found: DataFrame, cosine: float, size: int = AUDIT) -> float:
     """Share of the links of ``size`` nodes (chosen by hash) that were found, against all nodes by brute force."""
-    some = nodes.orderBy(F.xxhash64("node", F.lit(9))).limit(size).select("node", "label", "dim", "embedding").toArrow()
+    some = by_hash(nodes, "node", size, 9).select("node", "label", "dim", "embedding").toArrow()
     if not some.num_rows:
         return 1.0
     shared = nodes.sparkSession.sparkContext.broadcast(some)
@@ -310,7 +311,7 @@ def near_duplicates(vectors: DataFrame, *, vector: str = "embedding", key: str =
     nodes = settled(rows.where("ok").groupBy("node").agg(
         F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.min("id").alias("id"),
         F.count_distinct("id").alias("weight")).withColumn("dim", F.size("embedding")), "nodes")
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(1))).limit(SAMPLE).select("label", "dim", "embedding").toArrow()
+    sample = by_hash(nodes, "node", SAMPLE, 1).select("label", "dim", "embedding").toArrow()
     keys = nodes.sparkSession.createDataFrame(
         sorted(set(zip(sample["label"].to_pylist(), sample["dim"].to_pylist(), strict=True))), "label string, dim int")
     sizes = {(r["label"], r["dim"]): r["n"] for r in

@@ -10,8 +10,8 @@ tokens at a time by matrix products.
 
 Training goes over all training texts in ``ROUNDS`` rounds: each task starts from
 the common parameters, learns from its own texts, and the parameters are averaged
-by tokens. Scores need a word's count: the ``HEAD`` most frequent words are sent
-to all tasks (16 bytes each), the others are joined by shuffle, counted per text.
+by tokens. Scores need a word's count: the most frequent words, at most ``HEAD``, are
+sent to all tasks (16 bytes each), the others are joined by shuffle, counted per text.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fabspark.llm.sample import head as frequent
 from fabspark.llm.text import Texts, Words, texts
 from fabspark.session import settled
 
@@ -285,7 +286,8 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", fold: int
     counts = settled(word_counts(marked), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = counts.where("hash IS NULL").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    best = counts.where("hash IS NOT NULL").orderBy(F.col("c").desc(), "hash").limit(head).toArrow()
+    best = frequent(counts.where("hash IS NOT NULL"), "c", head).toArrow()
+    best = best.take(np.lexsort((best["hash"].to_numpy(), -best["c"].to_numpy())))
     hashes = best["hash"].to_numpy().astype(np.int64).view(np.uint64)
     c = best["c"].to_numpy().astype(np.float64)
     order = np.argsort(hashes)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fabspark.llm.sample import by_hash
 from fabspark.llm.text import Texts, Words, distinct, mix, span_hashes, texts
 
 BUCKETS = 1 << 13
@@ -114,8 +115,7 @@ def fit(docs: DataFrame, trusted: DataFrame, *, text: str = "text", key: str = "
     shuffle: what moves is ``buckets`` rows a task. With no documents or none
     trusted, all ratios are 0.
     """
-    sample = trusted.select(F.col(f"`{key}`").alias("_key")).where("_key IS NOT NULL").distinct() \
-        .orderBy(F.xxhash64("_key"), "_key").limit(trusted_docs)
+    sample = by_hash(trusted.select(F.col(f"`{key}`").alias("_key")).where("_key IS NOT NULL").distinct(), "_key", trusted_docs)
     marked = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")) \
         .join(F.broadcast(sample.withColumn("_trusted", F.lit(True))), "_key", "left") \
         .select("_text", F.coalesce("_trusted", F.lit(False)))

@@ -327,3 +327,15 @@ def test_links_of_vectors(spark, shard_size):
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, label int, embedding array<float>")
     assert flatgraph.near_duplicates(df).count() == 0
+
+
+def test_samples_and_heads(spark):
+    from fabspark.llm.sample import by_hash, head
+
+    df = spark.range(5000).withColumn("c", F.col("id") % 97 + 1)
+    a, b = ({r.id for r in by_hash(d, "id", 300).collect()} for d in (df.repartition(7), df.repartition(2)))
+    assert a == b and len(a) == 300
+    assert by_hash(df.limit(20), "id", 300).count() == 20 and by_hash(df.limit(0), "id", 3).count() == 0
+    some = [r.c for r in head(df, "c", 1000).collect()]
+    assert 800 < len(some) <= 1000 and min(some) >= 98 - 20
+    assert head(df, "c", 5000).count() == 5000 and head(df, "c", 10).count() == 0
