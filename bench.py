@@ -27,6 +27,7 @@ HEADLINE = [
     "e19_violation_log", "e21_health_matrix", "e23_oee_snapshot", "e26_dppm_trend", "c6_waterfall",
     # sources, augmentation, streams
     "a2_landing_scan", "a12_latest_batch", "n2_jitter", "n3_replay", "l5_stream_to_bronze", "l7_stream_spc",
+    "h11_constant_columns", "h16_density", "h18_feature_importance", "l3_redelivered_messages", "l5_message_driven", "l6_refresh",
 ]
 
 

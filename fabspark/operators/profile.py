@@ -48,9 +48,13 @@ def duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Columns without a value or with one value only; no distinct count needed."""
-    text = df.select(_cells(cols or df.columns, "CAST({c} AS STRING)"))
-    c = text.groupBy("column").agg(
+    """Columns without a value or with one value only; no distinct count needed.
+
+    Smallest and largest are taken of 64-bit hashes of the values: longs keep to a
+    hash aggregate, text would be sorted.
+    """
+    hashes = df.select(_cells(cols or df.columns, "CASE WHEN {c} IS NOT NULL THEN xxhash64({c}) END"))
+    c = hashes.groupBy("column").agg(
         F.count("value").alias("values"), F.min("value").alias("lo"), F.max("value").alias("hi"))
     return c.filter((F.col("values") == 0) | (F.col("lo") == F.col("hi"))).select(
         "column", F.when(F.col("values") == 0, "empty").otherwise("constant").alias("kind"), "values")
