@@ -10,10 +10,13 @@ Documents with equal sets are one node. Buckets are never turned into all their
 pairs: rows are range-sorted by table key and then by further collections, so
 that within a bucket the most similar documents stand next to each other, and
 every row is paired with the one before it and with the first of its bucket.
-Over 91 tables with other orders and other first rows, a document meets its
-nearest ones; a hot bucket is just a longer stretch of the sort, cut wherever
-the range partitions are. All pairs found are confirmed on full sets, those
-whose documents are connected already excepted.
+A hot bucket is just a longer stretch of the sort, cut wherever the range
+partitions are. All pairs found are confirmed on full sets, those whose
+documents are connected already excepted.
+
+Buckets that still hold several components are then made whole: every member
+meets the one of most links, and what is left is compared block by block, all
+members with all, on full sets within a task that hands on a spanning forest.
 """
 
 from __future__ import annotations
@@ -33,6 +36,9 @@ from fabspark.session import settled
 COLLECTIONS = 14
 HASHES = 3
 PERCENT = 80  # 100 * intersection >= PERCENT * union
+BLOCK = 256  # documents of a block of a hot bucket
+BLOCK_SHINGLES = 500_000
+RARE = 32  # documents of a block pair that share a shingle: fewer are counted in pairs, more by a matrix product
 BROADCAST_IDS = 500_000  # candidate documents up to this many go to all executors (8 bytes each), more are joined
 
 _PAIR = np.uint64(0xD6E8FEB86659FD93)  # fixed values: odd multipliers
@@ -117,11 +123,12 @@ def _tables(nodes: DataFrame, collections: int) -> DataFrame:
 def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sorted rows: each with the one before it and the first of its bucket.
 
-    Buckets that go on in another partition hand on their first row as kind 1.
+    Buckets that go on in another partition hand on their first row as kind 1,
+    those of more than three rows their key as kind 2.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # key, id, n of the row before, and id, n of its bucket's first
+        last = None  # key, id, n of the row before, id, n of its bucket's first, and its place in the bucket
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -130,24 +137,26 @@ def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
             start = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
             lead, lead_n = ids[start], n[start]
             prev, prev_n = np.r_[ids[:1], ids[:-1]], np.r_[n[:1], n[:-1]]
-            alone = new.copy()
+            alone, place = new.copy(), np.arange(len(key)) - start
             edge = [(key[0], ids[0], n[0])] if last is None else []
             if last is not None and key[0] == last[0]:
                 run_on = start == 0
                 lead, lead_n = np.where(run_on, last[3], lead), np.where(run_on, last[4], lead_n)
                 prev[0], prev_n[0], alone[0] = last[1], last[2], False
-            last = (key[-1], ids[-1], n[-1], lead[-1], lead_n[-1])
+                place[run_on] += last[5] + 1
+            last = (key[-1], ids[-1], n[-1], lead[-1], lead_n[-1], place[-1])
+            crowd = key[place == 3]
             a = np.concatenate([ids[~alone], ids[~alone]])
             b = np.concatenate([lead[~alone], prev[~alone]])
             na, nb = np.concatenate([n[~alone]] * 2), np.concatenate([lead_n[~alone], prev_n[~alone]])
             ok = (a != b) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
             a, b = np.minimum(a[ok], b[ok]), np.maximum(a[ok], b[ok])
-            m = len(edge)
+            none = np.zeros(len(crowd), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[np.zeros(len(a), np.int64), [e[0] for e in edge]].astype(np.int64)),
-                 pa.array(np.r_[a, [e[1] for e in edge]].astype(np.int64)),
-                 pa.array(np.r_[b, [e[2] for e in edge]].astype(np.int64)),
-                 pa.array(np.r_[np.zeros(len(a), np.int32), np.ones(m, np.int32)].astype(np.int32))],
+                [pa.array(np.concatenate([np.zeros(len(a), np.int64), np.array([e[0] for e in edge], np.int64), crowd])),
+                 pa.array(np.concatenate([a, np.array([e[1] for e in edge], np.int64), none])),
+                 pa.array(np.concatenate([b, np.array([e[2] for e in edge], np.int64), none])),
+                 pa.array(np.repeat(np.arange(3, dtype=np.int32), [len(a), len(edge), len(crowd)]))],
                 ["key", "a", "b", "kind"])
         if last is not None:
             yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in (last[0], last[3], last[4])]
@@ -156,12 +165,15 @@ def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select("key", "id", "n").mapInArrow(run, "key long, a long, b long, kind int")
 
 
-def candidates(nodes: DataFrame, *, collections: int = COLLECTIONS, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b, votes), a < b, that tables propose, with the number of tables."""
-    rows = _tables(nodes, collections)
+def proposals(nodes: DataFrame, *, collections: int = COLLECTIONS, percent: int = PERCENT) -> DataFrame:
+    """What the sorted tables tell: pairs, rows at the edges of partitions, keys of buckets beyond three rows."""
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = settled(_neighbours(rows.repartitionByRange(parts, "key", "place", "id")
-                                .sortWithinPartitions("key", "place", "id"), percent), "pairs")
+    return settled(_neighbours(_tables(nodes, collections).repartitionByRange(parts, "key", "place", "id")
+                               .sortWithinPartitions("key", "place", "id"), percent), "pairs")
+
+
+def candidates(found: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b, votes), a < b, that tables propose, with the number of tables."""
     pairs = found.where("kind = 0").select("a", "b")
     edges = found.where("kind = 1").select("key", F.col("a").alias("id"), F.col("b").alias("n"))  # two a partition
     first = edges.groupBy("key").agg(F.min(F.struct("id", "n")).alias("c"))
@@ -171,6 +183,102 @@ def candidates(nodes: DataFrame, *, collections: int = COLLECTIONS, percent: int
     return pairs.union(across).groupBy("a", "b").agg(F.count("*").alias("votes"))
 
 
+def _few(small: DataFrame) -> DataFrame:
+    return F.broadcast(small) if small.count() <= BROADCAST_IDS else small
+
+
+def crowded(nodes: DataFrame, found: DataFrame, *, collections: int = COLLECTIONS) -> DataFrame:
+    """(key, id, n) of buckets whose pairs were not all proposed: of more than three rows, or in several partitions."""
+    keys = settled(found.where("kind > 0").select("key").distinct(), "keys")
+    return _tables(nodes, collections).select("key", "id", "n").join(_few(keys), "key", "left_semi")
+
+
+def unsettled(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, id, n, group) of the buckets that hold several components."""
+    m = members.join(groups.withColumnRenamed("node", "id"), "id", "left") \
+        .select("key", "id", "n", F.coalesce("component", "id").alias("group"))
+    keys = settled(m.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+                   .where("low <> high").select("key"), "keys")
+    return m.join(_few(keys), "key", "left_semi")
+
+
+def hub_pairs(members: DataFrame, links: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of every member with the one of most links in its bucket, unless they are connected."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
+    hubs = settled(members.join(degree, "id", "left").groupBy("key")
+                   .agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "id", "n", "group")).alias("h")), "hubs")
+    return members.join(_few(hubs), "key").where("group <> h.group") \
+        .where(f"100 * least(n, h.n) >= {percent} * greatest(n, h.n)") \
+        .select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct()
+
+
+def _common(owner: np.ndarray, items: np.ndarray, m: int) -> np.ndarray:
+    """How many items every two of ``m`` owners share."""
+    _, item, count = np.unique(items, return_inverse=True, return_counts=True)
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    out = np.zeros((m, m), np.int64)
+    rare = (count[item] > 1) & (count[item] < RARE)
+    o, x = owner[rare], item[rare]
+    for s in range(1, RARE - 1):
+        same = x[s:] == x[:-s]
+        if not same.any():
+            break
+        out += np.bincount(o[:-s][same] * m + o[s:][same], minlength=m * m).reshape(m, m)
+    out += out.T
+    frequent = count[item] >= RARE
+    o, x = owner[frequent], np.unique(item[frequent], return_inverse=True)[1]
+    for low in range(0, int(x[-1]) + 1 if len(x) else 0, 4096):
+        here = slice(*np.searchsorted(x, [low, low + 4096]))
+        block = np.zeros((m, 4096), np.float32)
+        block[o[here], x[here] - low] = 1
+        out += (block @ block.T).astype(np.int64)
+    return out
+
+
+def _forest(link: np.ndarray) -> tuple[list[int], list[int]]:
+    """Ends of the links of a spanning forest."""
+    free, a, b = np.ones(len(link), bool), [], []
+    for s in range(len(link)):
+        if not free[s]:
+            continue
+        free[s], open_ = False, [s]
+        while open_:
+            x = open_.pop()
+            y = np.flatnonzero(link[x] & free)
+            free[y] = False
+            a += [x] * len(y)
+            b += y.tolist()
+            open_ += y.tolist()
+    return a, b
+
+
+def whole(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that join all that is linked within a bucket, every member compared with every other.
+
+    A bucket is cut into blocks by hash, and every two blocks are one group, so
+    no task is given more than two blocks.
+    """
+
+    def run(t: pa.Table) -> pa.Table:
+        ids, n, group = (t.column(c).to_numpy() for c in ("id", "n", "group"))
+        m, a, b = len(ids), [], []
+        if (group != group[0]).any():
+            sets = t.column("set").combine_chunks()
+            owner = np.repeat(np.arange(m), np.diff(sets.offsets.to_numpy()))
+            both = _common(owner, sets.flatten().to_numpy(), m)
+            a, b = _forest((100 * both >= percent * (n[:, None] + n - both)) & (group[:, None] != group))
+        return pa.table({"a": pa.array(np.minimum(ids[a], ids[b]) if a else [], pa.int64()),
+                         "b": pa.array(np.maximum(ids[a], ids[b]) if a else [], pa.int64())})
+
+    cut = settled(members.groupBy("key").agg(F.expr(
+        f"greatest(ceil(count(*) / {BLOCK}), ceil(sum(n) / {BLOCK_SHINGLES}))").alias("blocks")), "blocks")
+    at = members.join(_few(cut), "key").withColumn("at", F.expr("pmod(xxhash64(id, key), blocks)"))
+    rows = at.select("key", "id", "n", "group", "at", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other")) \
+        .select("key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "id", "n", "group")
+    return rows.join(sets, "id").groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
 def sets_of(docs: DataFrame, ids: DataFrame, text: str, key: str) -> DataFrame:
     """(id, set) of the documents named: full sets as sorted 64-bit hashes."""
     wanted = ids.select(F.col("id").alias("_id"))
@@ -213,8 +321,10 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     all_ = settled(sketches(docs, "_text", "_key", collections, hashes), "sketches")
     nodes = settled(all_.where("n > 0 AND id IS NOT NULL").groupBy("n", "f0", "f1")
                     .agg(F.min("id").alias("id"), F.first("keys").alias("keys")), "nodes")
-    pairs = settled(candidates(nodes, collections=collections, percent=percent), "candidates")
-    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    found = proposals(nodes, collections=collections, percent=percent)
+    pairs = settled(candidates(found, percent=percent), "candidates")
+    crowd = settled(crowded(nodes, found, collections=collections), "crowd")
+    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(crowd.select("id")).distinct(), "ids")
     # A key with several texts stands for its classes' smallest; its sets are looked at one by one.
     sets = settled(sets_of(docs, ids, "_text", "_key").distinct(), "sets")
     best = pairs.groupBy("b").agg(F.max(F.struct("votes", "a")).alias("m")).select("m.a", "b")
@@ -223,7 +333,16 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     of = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"{c}_group"))
     open_ = pairs.join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left") \
         .where("a_group IS NULL OR b_group IS NULL OR a_group <> b_group").select("a", "b")
-    groups = settled(components(sure.union(confirm(open_, sets, percent))), "groups")
+    links = settled(sure.union(confirm(open_, sets, percent)), "links")
+    groups = settled(components(links), "groups")
+    left = settled(unsettled(crowd, groups), "left")
+    if not left.isEmpty():
+        met = settled(hub_pairs(left, links, percent).join(pairs, ["a", "b"], "left_anti"), "met")
+        links = settled(links.union(confirm(met, sets, percent)), "links")
+        groups = settled(components(links), "groups")
+        left = settled(unsettled(left.select("key", "id", "n"), groups), "left")
+        if not left.isEmpty():
+            groups = settled(components(links.union(whole(left, sets, percent))), "groups")
     # Equal sets first, then components over the smallest key of each set.
     classes = nodes.select("n", "f0", "f1", F.col("id").alias("node")).join(groups, "node", "left") \
         .select("n", "f0", "f1", F.coalesce("component", "node").alias("component"))

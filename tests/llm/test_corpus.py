@@ -73,6 +73,54 @@ def test_a_hot_group_of_near_copies(spark):
     assert got == {k: c for k, (_, c) in near_groups(rows).items()}
 
 
+def star(seed, copies):
+    """An original of 200 words and edits of it, each near the original (Jaccard 0.82) but not near another (0.69)."""
+    random.seed(seed)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, copies + 1):
+        w = list(base)
+        for j, k in enumerate(random.sample(range(0, 200, 2), 10)):
+            w[k] = f"z{i}_{j}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_a_star_of_near_copies(spark):
+    """Copies linked to their original alone meet it in buckets far larger than their neighbours."""
+    df = spark.createDataFrame(star(12, 2000), "doc_id long, text string").repartition(7)
+    left = [r.doc_id for r in minhash.near_duplicates(df).collect() if r.component_id]
+    assert len(left) <= 3  # a pair at 0.817 shares no table with probability 0.0003
+
+
+def test_stars_in_one_bucket_without_a_common_hub(spark):
+    """Two originals in the same buckets: what the hub leaves is compared block by block."""
+    rows = star(13, 600)
+    other = rows[0][1].split()
+    for k in range(1, 200, 14):  # 15 words: not near the first original
+        other[k] = f"y{k}"
+    rows.append((10_000, " ".join(other)))
+    random.seed(14)
+    for i in range(10_001, 10_301):
+        w = list(other)
+        for j, k in enumerate(random.sample(range(0, 200, 2), 10)):
+            w[k] = f"x{i}_{j}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
+    want = {k: 0 if k < 10_000 else 10_000 for k, _ in rows}
+    assert sum(got[k] != want[k] for k in want) <= 2 and all(got[k] in (want[k], k) for k in want)
+
+
+def test_common_items_of_every_two(spark):
+    random.seed(15)
+    sets = [random.sample(range(50), random.randint(1, 30)) + [100 + i] for i in range(90)]
+    owner = np.repeat(np.arange(90), [len(x) for x in sets])
+    got = minhash._common(owner, np.concatenate([np.array(x) for x in sets]), 90)
+    want = [[len(set(x) & set(y)) for y in sets] for x in sets]
+    assert all(got[i][j] == want[i][j] for i in range(90) for j in range(90) if i != j)
+
+
 def test_near_duplicates_on_odd_rows(spark):
     rows = edge_rows()
     got = minhash.near_duplicates(edge(spark)).collect()
