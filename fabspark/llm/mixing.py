@@ -2,8 +2,9 @@
 
 A source's documents, in an order given by a hash of their key, are cut into
 blocks. A source is taken in whole passes over its blocks and one part of a
-pass, which ends inside one block, so its words come as near to the target as
-its smallest documents allow. Each taken block of a pass is a unit. The units of
+pass, which ends inside one block; what that block cannot fill is filled from the
+blocks after it, until no document of them fits. Each taken block of a pass is a
+unit, documents from later blocks belong to the unit of the last. The units of
 all sources are dealt to output shards by a tree: a node draws how many units of
 each source go left without replacement (multivariate hypergeometric, so quotas
 add up exactly), and the leaves' quotas cut every source's permuted units into
@@ -14,6 +15,7 @@ one row per source; nothing is sorted but blocks, and no text is moved.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ BLOCK_ROWS = 256
 SHARDS = 16
 SEED = 42
 BROADCAST_SOURCES = 10_000  # up to this many sources, their table goes to all executors
+BROADCAST_EXTRAS = 500_000  # so do hashes of this many documents
 
 _STEP = 2_147_483_647  # a prime above any number of units, so that its multiples run through all of them
 
@@ -67,7 +70,7 @@ def targets(sources: DataFrame, cap: float = CAP) -> DataFrame:
 @dataclass
 class Plan:
     """``sources``: one row per source with its passes, blocks and the shards' bounds.
-    ``extras``: hashes of the documents taken from the block in which a source's last pass ends."""
+    ``extras``: hashes of the documents taken from the block in which a source's last pass ends, and after it."""
 
     sources: DataFrame
     extras: DataFrame
@@ -85,14 +88,15 @@ class Plan:
         df = self._with_source(df.withColumn("_mix_hash", place), source) \
             .withColumn("_mix_block", _block("_mix_hash", "_mix_blocks"))
         extras = self.extras.select(F.col("source").alias("_extra_source"), F.col("hash").alias("_extra_hash"))
-        if self.sources.count() <= BROADCAST_SOURCES:  # at most a block's rows each
+        if self.extras.count() <= BROADCAST_EXTRAS:
             extras = F.broadcast(extras)
         df = df.join(extras, df[source].eqNullSafe(extras["_extra_source"])
                      & (df["_mix_hash"] == extras["_extra_hash"]), "left")
         extra = (F.col("_mix_block") < F.col("_mix_cut")) \
-            | ((F.col("_mix_block") == F.col("_mix_cut")) & F.col("_extra_hash").isNotNull())
+            | ((F.col("_mix_block") >= F.col("_mix_cut")) & F.col("_extra_hash").isNotNull())
         copies = (F.col("_mix_passes") + extra.cast("long")).cast("int")
-        unit = lambda n: (n - 1) * F.col("_mix_blocks") + F.col("_mix_block")
+        block = lambda n: F.when(n > F.col("_mix_passes"), F.least("_mix_block", "_mix_cut")).otherwise(F.col("_mix_block"))
+        unit = lambda n: (n - 1) * F.col("_mix_blocks") + block(n)
         at = lambda n: F.pmod(unit(n) * F.lit(_STEP), F.col("_mix_units"))
         shard = lambda n: F.size(F.filter("_mix_bounds", lambda b: b <= at(n)))
         return df.withColumn("_mix_shards", F.when(copies > 0, F.transform(F.sequence(F.lit(1), copies), shard))
@@ -132,15 +136,7 @@ def plan(docs: DataFrame, weights: DataFrame, *, key: str = "doc_id", source: st
     cuts = settled(sums.withColumn("end", F.sum("size").over(run)).where("end > rest").groupBy("source")
                    .agg(F.min(F.struct("block", F.expr("rest - (end - size) AS left"))).alias("c"))
                    .select(F.col("source").alias("_c"), F.col("c.block").alias("cut"), F.col("c.left").alias("left")), "cuts")
-    last = placed.join(cuts, placed["source"].eqNullSafe(cuts["_c"]) & (placed["block"] == cuts["cut"])) \
-        .groupBy("source", "left", "hash").agg(F.sum("size").alias("size")) \
-        .groupBy("source", "left").agg(F.sort_array(F.collect_list(F.struct("size", "hash")), asc=False).alias("docs"))
-    greedy = F.aggregate(  # the largest first, as long as they fit
-        "docs", F.struct(F.col("left").alias("left"), F.array().cast("array<bigint>").alias("hash")),
-        lambda a, d: F.when(d["size"] <= a["left"], F.struct((a["left"] - d["size"]).alias("left"),
-                                                             F.array_append(a["hash"], d["hash"]).alias("hash")))
-        .otherwise(a), lambda a: a["hash"])
-    extras = settled(last.select("source", F.explode(greedy).alias("hash")), "extras")
+    extras = _filled(placed.select("source", "block", "hash", "size"), cuts)
     per = per.join(cuts, per["source"].eqNullSafe(cuts["_c"]), "left").drop("_c", "left") \
         .withColumn("cut", F.when(F.col("rest") > 0, F.coalesce("cut", "blocks")).otherwise(F.lit(-1))) \
         .withColumn("units", F.col("passes") * F.col("blocks") + F.least(F.col("cut") + 1, F.col("blocks")))
@@ -148,6 +144,43 @@ def plan(docs: DataFrame, weights: DataFrame, *, key: str = "doc_id", source: st
     return Plan(settled(_dealt(per, shards, seed), "plan"), extras, seed)
 
 
+def _filled(pool: DataFrame, cuts: DataFrame) -> DataFrame:
+    """(source, hash) of the documents that fill what is ``left`` of each source from its block ``cut`` on.
+
+    The cut block gives its largest documents first, as long as they fit. Then the
+    later blocks are run through with the documents that still fit, whole blocks
+    until the next cut, and so on until none fits.
+    """
+    greedy = F.aggregate(
+        "docs", F.struct(F.col("left").alias("left"), F.array().cast("array<bigint>").alias("hash")),
+        lambda a, d: F.when(d["size"] <= a["left"], F.struct((a["left"] - d["size"]).alias("left"),
+                                                             F.array_append(a["hash"], d["hash"]).alias("hash")))
+        .otherwise(a))
+    run = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    taken = []
+    while True:
+        last = pool.join(cuts, pool["source"].eqNullSafe(cuts["_c"]) & (pool["block"] == cuts["cut"])) \
+            .groupBy("source", "cut", "left", "hash").agg(F.sum("size").alias("size")) \
+            .groupBy("source", "cut", "left").agg(F.sort_array(F.collect_list(F.struct("size", "hash")), asc=False).alias("docs"))
+        last = settled(last.select("source", "cut", greedy.alias("got")), "last")
+        taken.append(last.select("source", F.explode("got.hash").alias("hash")))
+        now = last.select(F.col("source").alias("_c"), "cut", F.col("got.left").alias("left")).where("left > 0")
+        each = pool.groupBy("source", "block", "hash").agg(F.sum("size").alias("size")).where("size > 0")
+        pool = settled(each.join(now, each["source"].eqNullSafe(now["_c"]) & (each["block"] > now["cut"])
+                                 & (each["size"] <= now["left"])).select("source", "block", "hash", "size", "left"), "pool")
+        if pool.isEmpty():
+            return settled(reduce(DataFrame.unionByName, taken), "extras")
+        ends = settled(pool.groupBy("source", "block", "left").agg(F.sum("size").alias("size"))
+                       .withColumn("end", F.sum("size").over(run)), "ends")
+        fits = ends.where("end <= left").select(F.col("source").alias("_c"), F.col("block").alias("_b"))
+        taken.append(pool.join(fits, pool["source"].eqNullSafe(fits["_c"]) & (pool["block"] == fits["_b"]))
+                     .select("source", "hash"))
+        cuts = settled(ends.where("end > left").groupBy("source")
+                       .agg(F.min(F.struct("block", F.expr("left - (end - size) AS left"))).alias("c"))
+                       .select(F.col("source").alias("_c"), F.col("c.block").alias("cut"), F.col("c.left").alias("left")), "cuts")
+        pool = pool.drop("left")
+
+
 def _dealt(per: DataFrame, shards: int, seed: int) -> DataFrame:
     """Adds ``bounds``: where in a source's permuted units each shard's run ends."""
     quota = "array<struct<source:string,n:bigint>>"

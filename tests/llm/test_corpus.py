@@ -213,6 +213,19 @@ def test_hypergeometric_quotas(spark):
     assert abs(np.mean(left) - mean) < 4 * math.sqrt(var / 24) and 0.3 * var < np.var(left) < 2.5 * var
 
 
+def test_a_long_document_leaves_its_words_to_later_blocks(spark):
+    """What a block with one very long document cannot fill is filled from the others."""
+    rows = [(i, "a", 100) for i in range(300)] + [(300, "a", 60_000)] + [(1000 + i, "b", 100) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    weights = spark.createDataFrame([("a", 1.0), ("b", 8.0)], "source string, weight double")  # 20,000 and 160,000 words
+    for seed in range(4):
+        p = mixing.plan(df, weights, block_rows=150, shards=4, seed=seed)
+        out = p.assign(df, "doc_id", "source").collect()
+        for s, target in (("a", 20_000), ("b", 160_000)):
+            assert sum(r["size"] * len(r._mix_shards) for r in out if r.source == s) == target
+        assert all(0 <= x < 4 for r in out for x in r._mix_shards)
+
+
 def test_mix_on_odd_rows(spark):
     out = mixing.taken(edge(spark), mixing.cyclic_weights(edge(spark))).collect()
     assert len(out) == len(edge_rows())
