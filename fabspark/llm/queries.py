@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabspark.llm import bpe, classifier, flatgraph, lbl, licenses, minhash, mixing, pii, rules, secret_scan
+from fabspark.llm import bpe, classifier, conversations, flatgraph, lbl, licenses, minhash, mixing, pii, rules, secret_scan
 from fabspark.llm.registry import query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -85,3 +85,8 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_license_scan", licenses.sql())
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")))
