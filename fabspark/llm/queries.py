@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabspark.llm import bpe, classifier, conversations, flatgraph, lbl, licenses, minhash, mixing, pii, rules, secret_scan
+from fabspark.llm import bpe, classifier, conversations, flatgraph, lbl, licenses, minhash, mixing, packing, pii, rules, secret_scan
 from fabspark.llm.registry import query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -90,3 +90,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_conversation_repair")
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query("op11_pack_windows")
+def op11_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = packing.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
