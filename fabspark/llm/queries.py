@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabspark.llm import bpe, classifier, conversations, flatgraph, lbl, licenses, minhash, mixing, packing, pii, rules, secret_scan
+from fabspark.llm import bpe, classifier, collocations, conversations, flatgraph, lbl, licenses, minhash, mixing, packing, pii, rules, secret_scan
 from fabspark.llm.registry import query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -96,3 +96,32 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = packing.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
+OP13_SQL = r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+  p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+  w AS MATERIALIZED (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+  g AS MATERIALIZED (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, any_value(w[i:i + m - 1]) AS ws,
+      count(*)::BIGINT AS f
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS k(m)
+          WHERE len(w) >= m)
+    GROUP BY lang, m, phrase),
+  t AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE m = 1 GROUP BY lang),
+  c AS MATERIALIZED (SELECT * FROM g WHERE f >= 30 AND m > 1),
+  s AS (SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.f) // (l.f + r.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+    JOIN g l ON l.lang = c.lang AND l.m = k AND l.phrase = array_to_string(c.ws[1:k], ' ')
+    JOIN g r ON r.lang = c.lang AND r.m = c.m - k AND r.phrase = array_to_string(c.ws[k + 1:c.m], ' ')),
+  b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+  o AS (SELECT lang, array_to_string(ws[i:i + q - 1], ' ') AS phrase, max(f) AS longer
+    FROM (SELECT *, unnest(range(1, m - q + 2)) AS i FROM c, (VALUES (2), (3)) AS k(q) WHERE q < m) GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS "rank", b.phrase, a, l, r, t.n, score
+FROM b JOIN t USING (lang) LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY "rank" <= 2000"""
+
+
+@query("op13_collocations", OP13_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
