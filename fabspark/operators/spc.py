@@ -28,9 +28,10 @@ def early_days(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
 
     Counts per group and day say which days that are. The latest of them goes into
     the filter as a literal, so the scan that follows leaves later data out and
-    only the opening days are sorted, however long the history is.
+    only the opening days are sorted, however long the history is. Readings without
+    a time have no place among the first and are left out.
     """
-    long = long.filter(F.col("val").isNotNull())
+    long = long.filter(F.col("val").isNotNull() & F.col("process_timestamp").isNotNull())
     day = F.to_date("process_timestamp")
     before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     counts = long.groupBy(*by, day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
@@ -51,8 +52,12 @@ def screened(long: DataFrame, by: Sequence[str], readings: int) -> DataFrame:
     shuffle; the raw statistics then run over at most N rows per group.
     """
     w = Window.partitionBy(*by).orderBy(*TIME)
-    first = (early_days(long.select(*by, *TIME, "val"), by, readings)
-             .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= readings))
+    return _trimmed(early_days(long.select(*by, *TIME, "val"), by, readings)
+                    .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= readings), by)
+
+
+def _trimmed(first: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Mean, spread and count of at most some hundred readings per group, without those beyond three raw sigma."""
     g = Window.partitionBy(*by)
     v = F.col("val")
     kept = first.withColumns({"_mu": C.mean(v, g), "_sd": C.spread(v, g)}).filter(
@@ -69,13 +74,37 @@ def spec_limits(long: DataFrame, line: str = K.GOLDEN_LINE,
     return s.select("sensor_id", (F.col("mu") + half).alias("usl"), (F.col("mu") - half).alias("lsl"))
 
 
-def baseline(long: DataFrame, line: str = K.GOLDEN_LINE, readings: int = K.BASELINE_READINGS,
-             min_readings: int = K.BASELINE_MIN_READINGS) -> DataFrame:
-    """Frozen control, warning and specification limits per line, tester and sensor."""
-    s = screened(long, ["line_id", "tester_id", "sensor_id"], readings).filter(
-        F.col("readings") > min_readings)
-    # One row per sensor: bounded by the schema, and settled so its size is known.
-    specs = settled(spec_limits(long, line, readings), "specs")
+def first_readings(long: DataFrame, readings: int = K.BASELINE_READINGS) -> DataFrame:
+    """The first readings of every series in time, all that frozen limits depend on.
+
+    Readings without a time have no place among the first and are left out. Every
+    task cuts to ``readings`` rows a series before the shuffle, so one scan does.
+    The result is a mergeable state: the first readings of two such tables together
+    are those of all readings behind them, see ``merged_first``.
+    """
+    w = Window.partitionBy(*SERIES).orderBy(*TIME)
+    return (long.filter(F.col("val").isNotNull() & F.col("process_timestamp").isNotNull()).select(*SERIES, *TIME, "val")
+            .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= readings).drop("_rn"))
+
+
+def merged_first(a: DataFrame, b: DataFrame, readings: int = K.BASELINE_READINGS) -> DataFrame:
+    """First readings of everything behind two tables of them."""
+    return first_readings(a.unionByName(b), readings)
+
+
+def limits_of(first: DataFrame, line: str = K.GOLDEN_LINE, readings: int = K.BASELINE_READINGS,
+              min_readings: int = K.BASELINE_MIN_READINGS) -> DataFrame:
+    """Limits from a table of first readings.
+
+    The golden line's first readings of a sensor are among those of its testers, so
+    specification limits need no scan of their own.
+    """
+    s = _trimmed(first, SERIES).filter(F.col("readings") > min_readings)
+    w = Window.partitionBy("sensor_id").orderBy(*TIME)
+    golden = first.filter(F.col("line_id") == line).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= readings)
+    half = K.SPEC_SIGMAS * F.col("sigma")
+    specs = _trimmed(golden, ["sensor_id"]).select(
+        "sensor_id", (F.col("mu") + half).alias("usl"), (F.col("mu") - half).alias("lsl"))
     mu, sd = F.col("mu"), F.col("sigma")
     return s.join(specs, "sensor_id").select(
         "line_id", "tester_id", "sensor_id", "mu", "sigma",
@@ -84,6 +113,16 @@ def baseline(long: DataFrame, line: str = K.GOLDEN_LINE, readings: int = K.BASEL
         F.lit(K.BASELINE_LOGIC).alias("logic_version"))
 
 
+def baseline(long: DataFrame, line: str = K.GOLDEN_LINE, readings: int = K.BASELINE_READINGS,
+             min_readings: int = K.BASELINE_MIN_READINGS) -> DataFrame:
+    """Frozen control, warning and specification limits per line, tester and sensor, from one scan.
+
+    A series of which every reading lacks a time has no limits.
+    """
+    # At most ``readings`` rows a series; settled, as two groupings read them.
+    return limits_of(settled(first_readings(long, readings), "first"), line, readings, min_readings)
+
+
 def spc_points(long: DataFrame, limits: DataFrame, how: str = "left") -> DataFrame:
     """Readings in order with their limits, z-score and side of the mean.
 

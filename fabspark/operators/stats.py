@@ -30,8 +30,11 @@ def label_correlation(df: DataFrame, sensors: Sequence[str], label: str = "label
 def pareto(df: DataFrame, sensors: Sequence[str], label: str = "label_numeric",
            min_readings: int = 30, prefix: str = "") -> DataFrame:
     """Sensors by strength of association with failure."""
-    c = label_correlation(df, sensors, label, prefix).filter(
-        F.col("r").isNotNull() & ~F.isnan("r") & (F.col("n") >= min_readings))
+    return _ranked(label_correlation(df, sensors, label, prefix), min_readings)
+
+
+def _ranked(c: DataFrame, min_readings: int) -> DataFrame:
+    c = c.filter(F.col("r").isNotNull() & ~F.isnan("r") & (F.col("n") >= min_readings))
     # One row per sensor, so ranking in one task is bounded by the schema.
     w = Window.orderBy(F.abs("r").desc_nulls_last(), "sensor_id")
     r = F.col("r")
@@ -41,6 +44,36 @@ def pareto(df: DataFrame, sensors: Sequence[str], label: str = "label_numeric",
         C.effect_strength(r).alias("effect_strength"), C.effect_direction(r).alias("direction"))
 
 
+def label_moments(df: DataFrame, sensors: Sequence[str], by: str, label: str = "label_numeric",
+                  prefix: str = "") -> DataFrame:
+    """Counts, means and centred sums of every sensor with the label, per value of ``by``: enough to make ``pareto`` anew.
+
+    Rows of other values of ``by`` need not be read again when one changes.
+    """
+    x, y = F.col("val"), F.col(label).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    px, py = F.when(both, x), F.when(both, y)
+    n = F.count(px)
+    return to_long(df, sensors, [by, label], prefix).groupBy("sensor_id", by).agg(
+        F.count("val").alias("n"), n.alias("pairs"), F.avg(px).alias("mx"), F.avg(py).alias("my"),
+        (F.var_pop(px) * n).alias("xx"), (F.var_pop(py) * n).alias("yy"), (F.covar_pop(px, py) * n).alias("xy"),
+        F.min(px).alias("x0"), F.max(px).alias("x1"), F.min(py).alias("y0"), F.max(py).alias("y1"))
+
+
+def pareto_of(moments: DataFrame, min_readings: int = 30) -> DataFrame:
+    """``pareto`` from the moments of parts: centred sums plus what the parts' means are off the mean of all."""
+    g = Window.partitionBy("sensor_id")
+    part = F.col("pairs")
+    mean = lambda c: F.sum(F.col(c) * part).over(g) / F.nullif(F.sum(part).over(g), F.lit(0))
+    m = moments.withColumns({"dx": F.col("mx") - mean("mx"), "dy": F.col("my") - mean("my")})
+    total = lambda c, a, b: F.sum(F.col(c) + part * F.col(a) * F.col(b))
+    varies = (F.min("x0") != F.max("x1")) & (F.min("y0") != F.max("y1"))
+    dev = F.sqrt(total("xx", "dx", "dx") * total("yy", "dy", "dy"))
+    c = m.groupBy("sensor_id").agg(
+        F.when(varies, F.try_divide(total("xy", "dx", "dy"), F.nullif(dev, F.lit(0.0)))).alias("r"), F.sum("n").alias("n"))
+    return _ranked(c, min_readings)
+
+
 def predictors(pareto: DataFrame) -> DataFrame:
     """Sensors strong enough to be plotted against the label."""
     return pareto.filter(F.col("effect_strength").isin("Strong", "Moderate"))

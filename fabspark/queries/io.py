@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fabspark.functions import columns as C
 from fabspark.functions import schemas
-from fabspark.operators import augment
+from fabspark.operators import augment, spc
 from fabspark.operators.reshape import to_long
 from fabspark.plans import fixtures as X
 from fabspark.plans.refresh import Setup, refresh, refresh_days
-from fabspark.queries.common import r, rounded
-from fabspark.queries.registry import LONG_KEYS, gold, query, silver, with_
+from fabspark.queries.common import cols, r, rounded
+from fabspark.queries.registry import BARE, LONG_KEYS, PARTS, gold, long, query, silver, with_
+from fabspark.queries.statistics import PARETO
 from fabspark.session import new_path, shared_dir
 from fabspark.sources import events as E
 from fabspark.sources import files, tables
+from fabspark.sources.lake import Lake
 from fabspark.streaming import intake
 from fabspark.streaming import spc as stream
 
@@ -337,16 +341,66 @@ def l6(spark, sf):
     return t["violations"].groupBy("rule_number", "sensor_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("l6_refresh_changed_days", with_("daily", body="SELECT process_date, line_id, total_wafers_tested, quarantined_wafers, yield_percentage FROM daily"))
-def l6_days(spark, sf):
+#: Rows and a sum that depends on every row, of all eight tables.
+DIGESTS = {
+    "reporting": ("silver", "missing_sensor_count"), "quarantine": ("quar", "missing_sensor_count"),
+    "daily": ("daily", "yield_percentage"), "shifts": ("shifts", "yield_pct + avg_missing_sensors"),
+    "oee": ("oee", "oee_pct + total_lots"), "limits": ("limits", "mu + sigma + usl"),
+    "violations": ("viol", "rule_number * (observation_id % 97)"), "pareto": (f"({PARETO})", "correlation + sample_size")}
+LAKE_SQL = with_("quar", "daily", "oee", "viol", body=" UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS n, round(coalesce(sum(CAST({value} AS DOUBLE)), 0), 4) AS total FROM {source} AS t"
+    for name, (source, value) in DIGESTS.items()))
+#: The same over rows of which every 20th has no time; such rows come first in a series.
+UNTIMED_SQL = LAKE_SQL.replace("ts AS process_timestamp", "CASE WHEN event_id % 20 <> 0 THEN ts END AS process_timestamp").replace(
+    PARTS["points"], PARTS["points"].replace("ORDER BY process_timestamp,", "ORDER BY process_timestamp NULLS FIRST,"))
+
+
+def _in_three_intakes(spark, bronze):
+    """All tables after a rebuild and two intakes: recent rows, then rows of early days."""
     root, setup = new_path(spark, "lake"), Setup(**SETUP, key=F.col("observation_id"))
-    every = X.bronze(spark, sf)
-    held_back = (F.to_date("Time") >= F.lit("2024-01-20").cast("date")) & (F.col("observation_id") % 2 == 0)
-    first = every.filter(~held_back)
-    refresh_days(first, first, root, setup)
-    refresh_days(every, every.filter(held_back), root, setup)
-    return spark.read.parquet(f"{root}/daily").select(
-        "process_date", "line_id", "total_wafers_tested", "quarantined_wafers", "yield_percentage")
+    day, n = F.to_date("Time"), F.col("observation_id")
+    recent = F.coalesce((day >= F.lit("2024-01-20").cast("date")) & (n % 2 == 0), n % 3 == 0)
+    early = ~recent & F.coalesce((day <= F.lit("2024-01-03").cast("date")) & (n % 5 == 0), n % 3 == 1)
+    refresh(bronze.filter(~recent & ~early), root, setup)
+    refresh_days(bronze.filter(~early), bronze.filter(recent), root, setup)
+    t = refresh_days(bronze, bronze.filter(early), root, setup)
+    parts = [t[name].agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), C.rounded(F.coalesce(F.sum(
+        F.expr(value).cast("double")), F.lit(0.0)), 4).alias("total")) for name, (_, value) in DIGESTS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("l6_refresh_changed_days", LAKE_SQL)
+def l6_days(spark, sf):
+    return _in_three_intakes(spark, X.bronze(spark, sf))
+
+
+@query("l6_refresh_untimed_rows", UNTIMED_SQL)
+def l6_untimed(spark, sf):
+    return _in_three_intakes(spark, X.bronze(spark, sf).withColumn(
+        "Time", F.when(F.col("observation_id") % 20 != 0, F.col("Time"))))
+
+
+@query("g1_baseline_untimed_rows", with_("limits", body=f"SELECT line_id, tester_id, sensor_id, {cols('mu', 'sigma', 'usl', 'lsl')} FROM limits")
+       .replace("ts AS process_timestamp", "CASE WHEN event_id % 20 <> 0 THEN ts END AS process_timestamp"))
+def g1_untimed(spark, sf):
+    rows = long(spark, sf, BARE).withColumn("process_timestamp", F.when(F.col("observation_id") % 20 != 0, F.col("process_timestamp")))
+    return rounded(spc.baseline(rows).select("line_id", "tester_id", "sensor_id", "mu", "sigma", "usl", "lsl"))
+
+
+@query("a9_lake_versions", with_("daily", body="""SELECT 1 AS version, process_date, line_id, total_wafers_tested FROM daily
+  WHERE process_date < DATE '2024-01-15' UNION ALL SELECT 2, process_date, line_id, total_wafers_tested FROM daily"""))
+def a9_versions(spark, sf):
+    """A reader of the first version keeps it while a second one is published."""
+    root, rows = new_path(spark, "lake"), gold(spark, sf, "daily")
+    early = F.col("process_date") < F.lit("2024-01-15").cast("date")
+    c = Lake(spark, root).change()
+    c.put("daily", rows.filter(early), "process_date")
+    reader = c.publish().read("daily").withColumn("version", F.lit(1))
+    late = rows.filter(~early)
+    c = Lake(spark, root).change()
+    c.put("daily", late, "process_date", [r[0] for r in late.select("process_date").distinct().collect()])
+    now = c.publish().read("daily").withColumn("version", F.lit(2))
+    return reader.unionByName(now).select("version", "process_date", "line_id", "total_wafers_tested")
 
 
 @query("l7_stream_spc", with_("viol", body="SELECT observation_id, sensor_id, rule_number, z_score FROM viol"))

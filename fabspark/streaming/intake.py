@@ -33,16 +33,20 @@ def _day() -> Column:
     return F.concat_ws("-", *(F.nullif(F.regexp_extract("file_path", day, i), F.lit("")) for i in (1, 2, 3)))
 
 
-def accept(messages: DataFrame, root: str, run: str, batch_id: int) -> DataFrame:
+def accept(messages: DataFrame, root: str, run: str, batch_id: int,
+           place: Callable[[str], str] | None = None) -> DataFrame:
     """The announcements of a micro-batch whose files are new; nothing is too late.
 
     Accepted paths are kept in ``root/accepted`` by landing day, and only the days
     in the batch are looked up. Messages that cannot be read go to
-    ``root/rejected``. Both are written under the batch's id, which a replay
-    leaves out of the lookup and replaces.
+    ``root/rejected`` with a reason. With ``place``, which says where a path lies,
+    announcements of files that are not there go there too; they are not accepted,
+    so announcing them anew once they are there works. Both tables are written under
+    the batch's id, which a replay leaves out of the lookup and replaces. The new
+    paths of one micro-batch pass the driver, so the trigger's size bounds them.
     """
     spark = messages.sparkSession
-    overwrite_batch(rejected_events(messages), f"{root}/rejected", run, batch_id)
+    rejected = rejected_events(messages).withColumn("reason", F.lit("names no file"))
     e = parse_events(messages).withColumn("generated_at", F.try_to_timestamp("generation_timestamp")) \
         .withColumn("landing_day", _day())
     first = Window.partitionBy("file_path").orderBy(F.col("generated_at").asc_nulls_last(), "line_id")
@@ -56,6 +60,12 @@ def accept(messages: DataFrame, root: str, run: str, batch_id: int) -> DataFrame
             .select("file_path")
         new = new.join(known, "file_path", "left_anti")
     new = settled(new, "accepted")
+    if place is not None:
+        absent = [(r[0],) for r in new.select("file_path").collect() if not exists(spark, place(r[0]))]
+        gone = spark.createDataFrame(absent, "file_path string")
+        rejected = rejected.unionByName(gone.select(F.col("file_path").alias("message"), F.lit("file not found").alias("reason")))
+        new = new.join(gone, "file_path", "left_anti") if absent else new
+    overwrite_batch(rejected, f"{root}/rejected", run, batch_id)
     new.select("file_path", "landing_day").write.mode("overwrite").partitionBy("landing_day").parquet(own)
     return new
 
@@ -66,21 +76,27 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def ingest_messages(messages: DataFrame, root: str, bronze: str, base: str, schema: T.StructType, checkpoint: str,
-                    version: str, every: str | None = None) -> StreamingQuery:
-    """Message-driven intake: read exactly the files announced, conform them, append them to bronze.
+                    version: str, every: str | None = None,
+                    after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Message-driven intake: read exactly the files announced, conform them, append them to bronze, then call ``after``.
 
-    Announced paths may be relative to ``base``.
+    Announced paths may be relative to ``base``. Files that are not there are
+    rejected, the others of the batch are read.
     """
+    def place(p: str) -> str:
+        return p if p.startswith(("/", base)) or "://" in p else f"{base}/{p}"
+
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run = run_id(spark, checkpoint)
         with scratch(spark):
-            paths = [r[0] for r in accept(batch, root, run, batch_id).select("file_path").collect()]
-            full = [p if p.startswith(("/", base)) or "://" in p else f"{base}/{p}" for p in paths]
+            full = [place(r[0]) for r in accept(batch, root, run, batch_id, place).select("file_path").collect()]
             if full:
                 rows = with_source_file(read_landing(spark, sorted(full), base, schema))
                 rows = conform(rows, T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
                 overwrite_batch(with_ingest_meta(rows, version), bronze, run, batch_id)
+        if full and after is not None:
+            after(spark.read.parquet(batch_path(bronze, run, batch_id)), batch_id)
 
     return start(messages, work, checkpoint, every)
 
