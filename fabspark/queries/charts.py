@@ -11,6 +11,7 @@ from fabspark.operators.reshape import to_long
 from fabspark.plans import fixtures as X
 from fabspark.queries.common import cols, r, rounded
 from fabspark.queries.registry import BARE, gold, long, query, silver, with_
+from fabspark.sources.events import latest_batch
 
 SERIES3 = "sensor_id, line_id, tester_id"
 FIRST100 = """SELECT * FROM long QUALIFY row_number() OVER (PARTITION BY line_id, tester_id, sensor_id
@@ -37,9 +38,12 @@ def d5(spark, sf):
 
 
 @query("d9_batch_with_limits", with_("points", body="""SELECT observation_id, sensor_id, val, round(mu, 6) AS mu, round(sigma, 6) AS sigma
-  FROM points WHERE mu IS NOT NULL AND process_timestamp >= TIMESTAMP '2024-01-30 00:00:00'"""))
+  FROM points JOIN (SELECT line_id, max(date_trunc('hour', process_timestamp)) AS newest FROM silver GROUP BY line_id) USING (line_id)
+  WHERE mu IS NOT NULL AND process_timestamp >= newest"""))
 def d9(spark, sf):
-    rows = long(spark, sf, BARE).filter(F.col("process_timestamp") >= F.lit("2024-01-30").cast("timestamp_ntz"))
+    """Readings of the latest batch of every line with the limits of their series."""
+    batch = latest_batch(X.batched(silver(spark, sf), "process_timestamp"))
+    rows = to_long(batch, X.SENSORS, list(BARE), "s")
     lim = gold(spark, sf, "limits").select(*spc.SERIES, "mu", "sigma")
     return rounded(rows.filter("val IS NOT NULL").join(lim, spc.SERIES).select("observation_id", "sensor_id", "val", "mu", "sigma"))
 

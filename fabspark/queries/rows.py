@@ -9,6 +9,7 @@ from fabspark.operators import reshape, staging
 from fabspark.plans import fixtures as X
 from fabspark.plans import serving
 from fabspark.queries.common import r, rounded
+from fabspark.queries.gold_tables import MATRIX
 from fabspark.queries.registry import gold, long, query, quarantine, silver, staged, with_
 
 
@@ -178,15 +179,19 @@ def yield_pivot(spark, sf):
     return reshape.yield_pivot(gold(spark, sf, "shifts"))
 
 
-@query("c3_health_matrix_wide", with_("viol", body="""SELECT sensor_id, count(*) AS total,
-    count(*) FILTER (WHERE process_timestamp::DATE = DATE '2024-01-28') AS "2024-01-28",
-    count(*) FILTER (WHERE process_timestamp::DATE = DATE '2024-01-29') AS "2024-01-29",
-    count(*) FILTER (WHERE process_timestamp::DATE = DATE '2024-01-30') AS "2024-01-30"
-  FROM viol WHERE process_timestamp >= DATE '2024-01-28' GROUP BY sensor_id"""))
+#: Fourteen trailing days touch at most fifteen calendar days; columns are numbered, oldest first, as names must be fixed.
+MATRIX_DAYS = [f"d{n:02d}" for n in range(1, 16)]
+
+
+@query("c3_health_matrix_wide", with_("viol", body="SELECT sensor_id, CAST(sum(violation_count) AS BIGINT) AS total, " + ", ".join(
+    f"CAST(coalesce(sum(violation_count) FILTER (WHERE n = {n}), 0) AS BIGINT) AS {d}" for n, d in enumerate(MATRIX_DAYS, 1))
+    + f" FROM (SELECT *, dense_rank() OVER (ORDER BY process_date) AS n FROM ({MATRIX})) GROUP BY sensor_id"))
 def health_matrix_wide(spark, sf):
     m = serving.health_matrix(gold(spark, sf, "violations"), 14)
-    days = [d[0] for d in m.select("process_date").distinct().orderBy(F.desc("process_date")).limit(3).collect()]
-    return reshape.health_pivot(m.filter(F.col("process_date").isin(days)), sorted(days))
+    days = sorted(d[0] for d in m.select("process_date").distinct().collect())  # as many as the window has
+    wide = reshape.health_pivot(m, days)
+    return wide.select("sensor_id", "total", *(F.col(f"`{days[n]}`").alias(d) if n < len(days) else F.lit(0).cast("long").alias(d)
+                                               for n, d in enumerate(MATRIX_DAYS)))
 
 
 @query("c5_apq_long", with_("oee", body="""SELECT line_id, u.component, u.value FROM (

@@ -15,6 +15,7 @@ from fabspark.operators.staging import failing
 from fabspark.plans import fixtures as X
 from fabspark.queries.common import r, rounded
 from fabspark.queries.registry import gold, query, silver, staged, with_
+from fabspark.sources.events import latest_batch
 
 PARETO = """SELECT row_number() OVER (ORDER BY abs(r) DESC, sensor_id) AS rank, sensor_id, round(r, 6) AS correlation,
   round(abs(r), 6) AS abs_correlation, n AS sample_size,
@@ -185,12 +186,21 @@ def j1(spark, sf):
         F.count("val").alias("n"))
 
 
-@query("d8_match_baseline", with_("staged", body="""SELECT observation_id, process_timestamp FROM staged WHERE line_id = 'LINE_A' AND
-  strftime(process_timestamp, '%m-%d') IN (SELECT strftime(process_timestamp, '%m-%d') FROM staged WHERE label_numeric = 1 AND lot_id = 'LOT-00001')"""))
+@query("d8_match_baseline", with_("staged", body="""SELECT observation_id, process_timestamp FROM staged WHERE
+  strftime(process_timestamp, '%m-%d') IN (SELECT strftime(process_timestamp, '%m-%d') FROM staged
+    QUALIFY date_trunc('hour', process_timestamp) = max(date_trunc('hour', process_timestamp)) OVER (PARTITION BY line_id))"""))
 def d8(spark, sf):
+    """All rows of the days that the latest batch of any line was made on."""
+    s = X.batched(staged(spark, sf), "process_timestamp")
+    return D.match_baseline(s, latest_batch(s)).select("observation_id", "process_timestamp")
+
+
+@query("d8_match_failing_days", with_("staged", body="""SELECT observation_id, process_timestamp FROM staged WHERE
+  strftime(process_timestamp, '%m-%d') IN (SELECT strftime(process_timestamp, '%m-%d') FROM staged
+    WHERE label_numeric = 1)"""))
+def d8_failing(spark, sf):
     s = staged(spark, sf)
-    return D.match_baseline(s.filter(F.col("line_id") == "LINE_A"),
-                            failing(s).filter(F.col("lot_id") == "LOT-00001")).select("observation_id", "process_timestamp")
+    return D.match_baseline(s, failing(s)).select("observation_id", "process_timestamp")
 
 
 NULLS = f"""SELECT *, max(missing_pct) FILTER (WHERE source <> 'Baseline') OVER (PARTITION BY sensor_id) AS max_generated
@@ -239,10 +249,9 @@ def h10_rows(spark, sf):
     return P.duplicates(X.table(spark, sf, "lineitem"))
 
 
-@query("h11_constant_columns", with_("staged", body="""SELECT * FROM (SELECT 's158' AS "column",
-    CASE WHEN count(s158) = 0 THEN 'empty' ELSE 'constant' END AS kind, count(s158) AS "values" FROM staged
-    HAVING count(DISTINCT s158) <= 1)
-  UNION ALL SELECT 's59', 'constant', count(s59) FROM staged HAVING count(DISTINCT s59) <= 1"""))
+@query("h11_constant_columns", with_("staged", body=" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CASE WHEN count({c}) = 0 THEN 'empty' ELSE 'constant' END AS kind, count({c}) AS "values"
+  FROM staged HAVING count(DISTINCT {c}) <= 1""" for c in [*X.SENSORS, "line_id"])))
 def h11(spark, sf):
     return P.constant_columns(X.bronze(spark, sf), [*X.SENSORS, "line_id"])
 
