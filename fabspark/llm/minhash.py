@@ -15,8 +15,9 @@ partitions are. All pairs found are confirmed on full sets, those whose
 documents are connected already excepted.
 
 Buckets that still hold several components are then made whole: every member
-meets the one of most links, and what is left is compared block by block, all
-members with all, on full sets within a task that hands on a spanning forest.
+meets the one of most links, and the members of buckets that are apart even then
+are joined exactly on the rare shingles that two linked sets must share. Rows of
+that join are in proportion to the members, whatever the size of a bucket.
 """
 
 from __future__ import annotations
@@ -36,9 +37,6 @@ from fabspark.session import settled
 COLLECTIONS = 14
 HASHES = 3
 PERCENT = 80  # 100 * intersection >= PERCENT * union
-BLOCK = 256  # documents of a block of a hot bucket
-BLOCK_SHINGLES = 500_000
-RARE = 32  # documents of a block pair that share a shingle: fewer are counted in pairs, more by a matrix product
 BROADCAST_IDS = 500_000  # candidate documents up to this many go to all executors (8 bytes each), more are joined
 
 _PAIR = np.uint64(0xD6E8FEB86659FD93)  # fixed values: odd multipliers
@@ -212,71 +210,40 @@ def hub_pairs(members: DataFrame, links: DataFrame, percent: int = PERCENT) -> D
         .select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct()
 
 
-def _common(owner: np.ndarray, items: np.ndarray, m: int) -> np.ndarray:
-    """How many items every two of ``m`` owners share."""
-    _, item, count = np.unique(items, return_inverse=True, return_counts=True)
-    order = np.argsort(item, kind="stable")
-    owner, item = owner[order], item[order]
-    out = np.zeros((m, m), np.int64)
-    rare = (count[item] > 1) & (count[item] < RARE)
-    o, x = owner[rare], item[rare]
-    for s in range(1, RARE - 1):
-        same = x[s:] == x[:-s]
-        if not same.any():
-            break
-        out += np.bincount(o[:-s][same] * m + o[s:][same], minlength=m * m).reshape(m, m)
-    out += out.T
-    frequent = count[item] >= RARE
-    o, x = owner[frequent], np.unique(item[frequent], return_inverse=True)[1]
-    for low in range(0, int(x[-1]) + 1 if len(x) else 0, 4096):
-        here = slice(*np.searchsorted(x, [low, low + 4096]))
-        block = np.zeros((m, 4096), np.float32)
-        block[o[here], x[here] - low] = 1
-        out += (block @ block.T).astype(np.int64)
-    return out
-
+def _starts(rows: DataFrame, percent: int) -> DataFrame:
+    """(id, n, group, rest, item) of the start of every set, rarest shingles first.
 
-def _forest(link: np.ndarray) -> tuple[list[int], list[int]]:
-    """Ends of the links of a spanning forest."""
-    free, a, b = np.ones(len(link), bool), [], []
-    for s in range(len(link)):
-        if not free[s]:
-            continue
-        free[s], open_ = False, [s]
-        while open_:
-            x = open_.pop()
-            y = np.flatnonzero(link[x] & free)
-            free[y] = False
-            a += [x] * len(y)
-            b += y.tolist()
-            open_ += y.tolist()
-    return a, b
-
-
-def whole(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) that join all that is linked within a bucket, every member compared with every other.
-
-    A bucket is cut into blocks by hash, and every two blocks are one group, so
-    no task is given more than two blocks.
+    A set of ``n`` that is linked with another shares one of its first
+    ``n - ceil(percent * n / 100) + 1`` shingles with it, in any order that is the same
+    for all. A shingle of one set alone takes a place and makes no row; ``rest`` counts
+    the shingles from here to the end.
     """
-
-    def run(t: pa.Table) -> pa.Table:
-        ids, n, group = (t.column(c).to_numpy() for c in ("id", "n", "group"))
-        m, a, b = len(ids), [], []
-        if (group != group[0]).any():
-            sets = t.column("set").combine_chunks()
-            owner = np.repeat(np.arange(m), np.diff(sets.offsets.to_numpy()))
-            both = _common(owner, sets.flatten().to_numpy(), m)
-            a, b = _forest((100 * both >= percent * (n[:, None] + n - both)) & (group[:, None] != group))
-        return pa.table({"a": pa.array(np.minimum(ids[a], ids[b]) if a else [], pa.int64()),
-                         "b": pa.array(np.maximum(ids[a], ids[b]) if a else [], pa.int64())})
-
-    cut = settled(members.groupBy("key").agg(F.expr(
-        f"greatest(ceil(count(*) / {BLOCK}), ceil(sum(n) / {BLOCK_SHINGLES}))").alias("blocks")), "blocks")
-    at = members.join(_few(cut), "key").withColumn("at", F.expr("pmod(xxhash64(id, key), blocks)"))
-    rows = at.select("key", "id", "n", "group", "at", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other")) \
-        .select("key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "id", "n", "group")
-    return rows.join(sets, "id").groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    each = settled(rows.select("id", "group", F.size("set").alias("n"), F.xxhash64("set").alias("h"),
+                               F.explode("set").alias("item")), "items")
+    shared = each.groupBy("item").agg(F.count("*").alias("f")).where("f > 1")
+    return each.join(shared, "item").groupBy("id", "group", "n", "h") \
+        .agg(F.sort_array(F.collect_list(F.struct("f", "item"))).alias("items")) \
+        .withColumn("lone", F.expr("n - size(items)")) \
+        .withColumn("first", F.expr(f"n - cast(ceil({percent} * n / 100) as int) + 1")) \
+        .where("first > lone") \
+        .select("id", "n", "group", "lone", F.posexplode(F.expr("slice(items.item, 1, first - lone)")).alias("i", "item")) \
+        .select("id", "n", "group", F.expr("n - lone - i").alias("rest"), "item")
+
+
+def rare_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of sets of different groups that may be linked, none that is linked left out.
+
+    ``rows`` are (id, group, set). Pairs meet by a rare shingle that both start
+    with, and become rows only where enough shingles are left after it for a
+    link, so a set makes at most as many rows as its start has shingles. The
+    smaller set of a pair needs more left, so most of its start meets nothing.
+    """
+    starts = settled(_starts(rows, percent), "starts")
+    a = starts.alias("a")
+    b = starts.where(f"{100 + percent} * rest >= {2 * percent} * n").alias("b")
+    return a.join(b, F.expr(f"""a.item = b.item AND a.group <> b.group AND (a.n > b.n OR a.n = b.n AND a.id > b.id)
+            AND {100 + percent} * least(a.rest, b.rest) >= {percent} * (a.n + b.n)""")) \
+        .select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, text: str, key: str) -> DataFrame:
@@ -340,9 +307,10 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
         met = settled(hub_pairs(left, links, percent).join(pairs, ["a", "b"], "left_anti"), "met")
         links = settled(links.union(confirm(met, sets, percent)), "links")
         groups = settled(components(links), "groups")
-        left = settled(unsettled(left.select("key", "id", "n"), groups), "left")
-        if not left.isEmpty():
-            groups = settled(components(links.union(whole(left, sets, percent))), "groups")
+        apart = unsettled(left.select("key", "id", "n"), groups).select("id", "group").distinct()
+        more = settled(rare_pairs(apart.join(sets, "id"), percent), "more")
+        if not more.isEmpty():
+            groups = settled(components(links.union(confirm(more, sets, percent))), "groups")
     # Equal sets first, then components over the smallest key of each set.
     classes = nodes.select("n", "f0", "f1", F.col("id").alias("node")).join(groups, "node", "left") \
         .select("n", "f0", "f1", F.coalesce("component", "node").alias("component"))

@@ -94,7 +94,7 @@ def test_a_star_of_near_copies(spark):
 
 
 def test_stars_in_one_bucket_without_a_common_hub(spark):
-    """Two originals in the same buckets: what the hub leaves is compared block by block."""
+    """Two originals in the same buckets: what the hub leaves is joined on rare shingles."""
     rows = star(13, 600)
     other = rows[0][1].split()
     for k in range(1, 200, 14):  # 15 words: not near the first original
@@ -112,13 +112,49 @@ def test_stars_in_one_bucket_without_a_common_hub(spark):
     assert sum(got[k] != want[k] for k in want) <= 2 and all(got[k] in (want[k], k) for k in want)
 
 
-def test_common_items_of_every_two(spark):
+def rare_rows(spark, sets):
+    return spark.createDataFrame([(i, i, sorted(x)) for i, x in enumerate(sets)], "id long, group long, set array<bigint>")
+
+
+@pytest.mark.parametrize("percent", [80, 50])
+def test_rare_pairs_lose_no_link(spark, percent):
+    """Sets near the threshold, of very short ones too: every linked pair is among the candidates."""
     random.seed(15)
-    sets = [random.sample(range(50), random.randint(1, 30)) + [100 + i] for i in range(90)]
-    owner = np.repeat(np.arange(90), [len(x) for x in sets])
-    got = minhash._common(owner, np.concatenate([np.array(x) for x in sets]), 90)
-    want = [[len(set(x) & set(y)) for y in sets] for x in sets]
-    assert all(got[i][j] == want[i][j] for i in range(90) for j in range(90) if i != j)
+    base = [set(random.sample(range(300), n)) for n in (1, 2, 3, 4, 9, 40, 41)]
+    sets = {frozenset(x) for x in base}
+    for _ in range(160):
+        x = set(random.choice(base))
+        for _ in range(random.randint(0, 1 + len(x) // 6)):
+            x ^= {random.randrange(300)}
+        sets |= {frozenset(x)} if x else set()
+    sets = sorted(map(sorted, sets))
+    got = {(r.a, r.b) for r in minhash.rare_pairs(rare_rows(spark, sets), percent).collect()}
+    want = {(i, j) for j in range(len(sets)) for i in range(j)
+            if 100 * len(set(sets[i]) & set(sets[j])) >= percent * len(set(sets[i]) | set(sets[j]))}
+    assert want and want <= got
+    same = rare_rows(spark, sets).withColumn("group", F.lit(1))
+    assert minhash.rare_pairs(same, percent).count() == 0
+    assert minhash.rare_pairs(same.limit(0), percent).count() == 0
+
+
+def test_rows_of_a_crowd_grow_with_its_members(spark, monkeypatch):
+    """Twice the members of one star make about twice the rows of the widest step, not four times."""
+    rows, real = [], minhash.settled
+
+    def counted(df, name="t"):
+        out = real(df, name)
+        if name == "starts":
+            rows[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "settled", counted)
+    for m in (500, 1000, 2000):
+        random.seed(16)
+        sets = [sorted(set(range(199)) - set(random.sample(range(199), 20)) | {10 ** 6 + 20 * i + k for k in range(20)})
+                for i in range(m)]
+        rows.append(0)
+        minhash.rare_pairs(rare_rows(spark, sets))
+    assert rows[0] > 0 and all(b <= 2.3 * a for a, b in zip(rows, rows[1:]))
 
 
 def test_near_duplicates_on_odd_rows(spark):
