@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from functools import cached_property
 
 import ahocorasick
@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PIECES_KEPT = 400_000  # encodings and pairs a worker remembers; it starts anew beyond
+PIECES_KEPT = 256_000  # encodings of words, of matches, and pairs that a worker remembers, each; the oldest go first
 LONGEST_KEPT = 64  # characters of a piece that is remembered
 STEP = 256  # rows of output at a time
 
@@ -49,9 +49,9 @@ class Coder:
         self.pattern = regex.compile(pattern)
         # Chunks that the pattern never joins: no white space but one space in front.
         self.plain = regex.compile(r"\S+(?: \S+)*")
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces = _Pieces(self)
-        self.chunks = _Chunks(self)
+        self.pairs = _Kept(self.compatible_pair)  # by left id << 32 | right id
+        self.pieces = _Kept(self.piece_bytes)  # matches of the pattern
+        self.chunks = _Kept(self.chunk_bytes)  # words with the space in front, each of which is a row of matches
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
@@ -74,13 +74,9 @@ class Coder:
             parts[best:best + 2] = [joined]
         return [self.ids[p] for p in parts]
 
-    def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= PIECES_KEPT:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(self.bytes[left] + self.bytes[right]) == [left, right]
-        return known
+    def compatible_pair(self, pair: int) -> bool:
+        left, right = pair >> 32, pair & 0xFFFFFFFF
+        return self.merge(self.bytes[left] + self.bytes[right]) == [left, right]
 
     def piece_ids(self, piece: bytes) -> list[int]:
         """Tokens of one match of the pattern."""
@@ -98,7 +94,7 @@ class Coder:
         while pos < len(piece):
             while k >= 0:
                 length, i = at[pos][k]
-                if not dead[pos + length] and (not chosen or self.compatible(chosen[-1], i)):
+                if not dead[pos + length] and (not chosen or self.pairs[chosen[-1] << 32 | i]):
                     break
                 k -= 1
             if k >= 0:
@@ -113,6 +109,12 @@ class Coder:
                 pos, k = starts.pop(), tried.pop() - 1
         return chosen
 
+    def piece_bytes(self, piece: str) -> bytes:
+        return np.array(self.piece_ids(piece.encode()), "<u4").tobytes()
+
+    def chunk_bytes(self, chunk: str) -> bytes:
+        return b"".join([self.pieces[p] for p in self.pattern.findall(chunk)])
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         out, chunks = [], self.chunks
@@ -132,37 +134,28 @@ class Coder:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-class _Pieces(dict):
-    """Encoded matches of the pattern."""
-
-    def __init__(self, coder: Coder):
-        super().__init__()
-        self.coder = coder
+class _Kept(dict):
+    """What ``make`` gave, in two generations: entries of the older one that are asked for again move to the newer.
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.coder.piece_ids(piece.encode()), "<u4").tobytes()
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= PIECES_KEPT:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-class _Chunks(dict):
-    """Encoded words with the space in front, each of which is a row of matches."""
+    A text longer than ``LONGEST_KEPT`` is not remembered. Both generations
+    together hold at most ``PIECES_KEPT`` entries.
+    """
 
-    def __init__(self, coder: Coder):
+    def __init__(self, make: Callable[[Hashable], object]):
         super().__init__()
-        self.coder = coder
-
-    def __missing__(self, chunk: str) -> bytes:
-        c = self.coder
-        ids = b"".join([c.pieces[p] for p in c.pattern.findall(chunk)])
-        if len(chunk) <= LONGEST_KEPT:
-            if len(self) >= PIECES_KEPT:
-                self.clear()
-            self[chunk] = ids
-        return ids
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: Hashable) -> object:
+        found = self.old.pop(key, None)
+        if found is None:
+            found = self.make(key)
+            if isinstance(key, str) and len(key) > LONGEST_KEPT:
+                return found
+        if len(self) >= PIECES_KEPT // 2:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
 
 
 _CODERS: dict[tuple[str, str], Coder] = {}

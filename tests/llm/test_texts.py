@@ -57,6 +57,19 @@ def test_memory_of_the_coder_is_bounded(monkeypatch):
     assert max(len(coder.pieces), len(coder.chunks), len(coder.pairs)) <= 5
 
 
+def test_coder_drops_the_oldest_first(monkeypatch):
+    """What every text asks for stays while the rest goes, and both generations together keep to the limit."""
+    monkeypatch.setattr(bpe, "PIECES_KEPT", 40)
+    coder = bpe.Coder(bpe.read_ranks(PATH), P.PATTERN)
+    made = []
+    coder.chunks.make = lambda chunk: made.append(chunk) or coder.chunk_bytes(chunk)
+    for i in range(300):
+        text = f"hot word{i} other{i}"
+        assert coder.decode(coder.encode(text)) == text.encode()
+        assert max(len(k) + len(k.old) for k in (coder.pieces, coder.chunks, coder.pairs)) <= 40
+    assert made.count("hot") == 1
+
+
 def test_word_boundaries_do_not_cross_texts():
     random.seed(1)
     for _ in range(300):
