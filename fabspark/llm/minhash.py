@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fabspark.llm.components import components
+from fabspark.llm.components import components, joined
 from fabspark.llm.text import Words, distinct, mix, texts
 from fabspark.session import settled
 
@@ -300,17 +300,17 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     of = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"{c}_group"))
     open_ = pairs.join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left") \
         .where("a_group IS NULL OR b_group IS NULL OR a_group <> b_group").select("a", "b")
-    links = settled(sure.union(confirm(open_, sets, percent)), "links")
-    groups = settled(components(links), "groups")
+    links = settled(confirm(open_, sets, percent), "links")
+    groups = settled(joined(groups, links), "groups")
+    links = sure.union(links)
     left = settled(unsettled(crowd, groups), "left")
     if not left.isEmpty():
         met = settled(hub_pairs(left, links, percent).join(pairs, ["a", "b"], "left_anti"), "met")
-        links = settled(links.union(confirm(met, sets, percent)), "links")
-        groups = settled(components(links), "groups")
+        groups = settled(joined(groups, confirm(met, sets, percent)), "groups")
         apart = unsettled(left.select("key", "id", "n"), groups).select("id", "group").distinct()
         more = settled(rare_pairs(apart.join(sets, "id"), percent), "more")
         if not more.isEmpty():
-            groups = settled(components(links.union(confirm(more, sets, percent))), "groups")
+            groups = settled(joined(groups, confirm(more, sets, percent)), "groups")
     # Equal sets first, then components over the smallest key of each set.
     classes = nodes.select("n", "f0", "f1", F.col("id").alias("node")).join(groups, "node", "left") \
         .select("n", "f0", "f1", F.coalesce("component", "node").alias("component"))

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from fabspark.llm import classifier, components, flatgraph, lbl, minhash, mixing
 from fabspark.llm.registry import table
+from fabspark.session import settled
 from llm_cases import LOWER, crc, edge, edge_rows, near_groups, none, words
 from pyspark.sql import functions as F
 
@@ -49,6 +50,28 @@ def test_components(spark):
     assert components.components(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_components_take_few_jobs_and_go_on(spark, monkeypatch, limit):
+    """A path against the order of its keys, a star and a ring; then links between them and to new nodes."""
+    monkeypatch.setattr(components, "BROADCAST_NODES", limit)
+    written = []
+    monkeypatch.setattr(components, "settled", lambda df, name="t": written.append(name) or settled(df, name))
+    links = [(1000 - i, 999 - i) for i in range(64)] + [(500, i) for i in range(100, 140)] \
+        + [(200 + i, 200 + (i + 1) % 50) for i in range(50)]
+    df = spark.createDataFrame(links, "a long, b long")
+    groups = settled(components.components(df), "groups")
+    want = {x: 936 if x > 900 else 100 if x == 500 or x < 140 else 200 for link in links for x in link}
+    assert {r.node: r.component for r in groups.collect()} == want
+    assert groups.count() == len(want)
+    assert len(written) <= 20  # alternating stars wrote a table of eleven shuffles for each of many rounds
+    more = spark.createDataFrame([(950, 120), (3000, 2000), (2000, 230), (4000, 4001)], "a long, b long")
+    got = components.joined(groups, more).collect()
+    want = {x: 100 if c == 936 else c for x, c in want.items()} | {2000: 200, 3000: 200, 4000: 4000, 4001: 4000}
+    assert {r.node: r.component for r in got} == want and len(got) == len(want)
+    same = components.joined(groups, more.limit(0))
+    assert sorted(same.collect()) == sorted(groups.collect())
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     texts = copies(3, 240)
     texts += [texts[0]] * 3 + [texts[1].upper()] + ["", None, " ", "lone", "lone", "LONE two"]
