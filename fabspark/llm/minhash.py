@@ -23,6 +23,7 @@ that join are in proportion to the members, whatever the size of a bucket.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -200,9 +201,14 @@ def unsettled(members: DataFrame, groups: DataFrame) -> DataFrame:
     return m.join(_few(keys), "key", "left_semi")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(id, degree) of the ends of pairs, counted on either side first, so that no pair is doubled; an id may come twice."""
+    return reduce(DataFrame.union, [pairs.groupBy(F.col(c).alias("id")).agg(F.count("*").alias("degree")) for c in ("a", "b")])
+
+
 def hub_pairs(members: DataFrame, links: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of every member with the one of most links in its bucket, unless they are connected."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
+    degree = _ends(links).groupBy("id").agg(F.sum("degree").alias("degree"))
     hubs = settled(members.join(degree, "id", "left").groupBy("key")
                    .agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "id", "n", "group")).alias("h")), "hubs")
     return members.join(_few(hubs), "key").where("group <> h.group") \
@@ -291,7 +297,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     found = proposals(nodes, collections=collections, percent=percent)
     pairs = settled(candidates(found, percent=percent), "candidates")
     crowd = settled(crowded(nodes, found, collections=collections), "crowd")
-    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(crowd.select("id")).distinct(), "ids")
+    ids = settled(_ends(pairs).select("id").union(crowd.select("id").distinct()).distinct(), "ids")
     # A key with several texts stands for its classes' smallest; its sets are looked at one by one.
     sets = settled(sets_of(docs, ids, "_text", "_key").distinct(), "sets")
     best = pairs.groupBy("b").agg(F.max(F.struct("votes", "a")).alias("m")).select("m.a", "b")

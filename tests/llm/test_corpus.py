@@ -180,6 +180,15 @@ def test_rows_of_a_crowd_grow_with_its_members(spark, monkeypatch):
     assert rows[0] > 0 and all(b <= 2.3 * a for a, b in zip(rows, rows[1:]))
 
 
+def test_ends_of_pairs_are_counted_without_doubling_them(spark):
+    pairs = spark.createDataFrame([(1, i) for i in range(2, 40)] + [(2, 3), (3, 50)], "a long, b long")
+    ends = minhash._ends(pairs)
+    assert "Generate" not in ends._jdf.queryExecution().executedPlan().toString()
+    got = ends.groupBy("id").agg(F.sum("degree").alias("degree"))
+    want = Counter(x for r in pairs.collect() for x in r)
+    assert {r.id: r.degree for r in got.collect()} == want
+
+
 def test_near_duplicates_on_odd_rows(spark):
     rows = edge_rows()
     got = minhash.near_duplicates(edge(spark)).collect()
