@@ -3,9 +3,8 @@
 A sequence of tokens is the result of the merges exactly if each two neighbours
 are compatible: merging the bytes of both gives these two tokens again. So a
 piece of text is encoded from left to right with the longest token at each
-place (found for all places at once by an Aho-Corasick automaton over bytes
-written as Latin-1 characters), stepping back to a shorter one where neighbours
-are not compatible. Compatibility is remembered per pair and places from which
+place (the lengths to try there follow from the bytes it starts with),
+stepping back to a shorter one where neighbours are not compatible. Compatibility is remembered per pair and places from which
 no end can be reached are remembered per piece, so each place is tried once.
 """
 
@@ -16,7 +15,6 @@ import hashlib
 from collections.abc import Callable, Hashable, Iterator
 from functools import cached_property
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -26,6 +24,8 @@ from pyspark.sql import functions as F
 PIECES_KEPT = 256_000  # encodings of words, of matches, and pairs that a worker remembers, each; the oldest go first
 LONGEST_KEPT = 64  # characters of a piece that is remembered
 STEP = 256  # rows of output at a time
+FIRST = 4  # bytes that tell how long a token may be
+NONE = 1 << 40  # above any rank
 
 
 def read_ranks(path: str) -> bytes:
@@ -49,29 +49,35 @@ class Coder:
         self.pattern = regex.compile(pattern)
         # Chunks that the pattern never joins: no white space but one space in front.
         self.plain = regex.compile(r"\S+(?: \S+)*")
+        self.reach: dict[bytes, int] = {}  # the length of the longest token by its first bytes
+        for token in self.ids:
+            if len(token) >= FIRST:
+                self.reach[token[:FIRST]] = max(len(token), self.reach.get(token[:FIRST], 0))
         self.pairs = _Kept(self.compatible_pair)  # by left id << 32 | right id
         self.pieces = _Kept(self.piece_bytes)  # matches of the pattern
         self.chunks = _Kept(self.chunk_bytes)  # words with the space in front, each of which is a row of matches
 
     @cached_property
-    def automaton(self) -> ahocorasick.Automaton:
-        """All tokens that the merges can make, as Latin-1 text."""
-        out = ahocorasick.Automaton()
-        for token, i in self.ids.items():
-            if len(token) == 1 or self.merge(token) == [i]:
-                out.add_word(token.decode("latin-1"), (len(token), i))
-        out.make_automaton()
-        return out
+    def tokens(self) -> dict[bytes, int]:
+        """All tokens that the merges can make."""
+        return {token: i for token, i in self.ids.items() if len(token) == 1 or self.merge(token) == [i]}
 
     def merge(self, piece: bytes) -> list[int]:
         """Merges one by one; for tokens and pairs of tokens, which are short."""
+        rank = self.ids.get
         parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.ids.get(parts[i] + parts[i + 1], 1 << 40))
-            joined = parts[best] + parts[best + 1]
-            if joined not in self.ids:
+        ranks = [rank(piece[i:i + 2], NONE) for i in range(len(piece) - 1)]  # of each part joined to the next one
+        while ranks:
+            best = min(ranks)
+            if best == NONE:
                 break
-            parts[best:best + 2] = [joined]
+            at = ranks.index(best)
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], NONE)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], NONE)
         return [self.ids[p] for p in parts]
 
     def compatible_pair(self, pair: int) -> bool:
@@ -83,37 +89,39 @@ class Coder:
         whole = self.ids.get(piece)
         if whole is not None:
             return [whole]
-        at: list[list[tuple[int, int]]] = [[] for _ in piece]  # (length, id), longest last
-        for end, (length, i) in self.automaton.iter(piece.decode("latin-1")):
-            at[end - length + 1].append((length, i))
         chosen: list[int] = []  # ids so far
         starts: list[int] = []  # where each of them starts
-        tried: list[int] = []  # the index in ``at`` of each of them
-        dead = bytearray(len(piece) + 1)
-        pos, k = 0, len(at[0]) - 1
-        while pos < len(piece):
-            while k >= 0:
-                length, i = at[pos][k]
-                if not dead[pos + length] and (not chosen or self.pairs[chosen[-1] << 32 | i]):
+        dead: set[int] = set()
+        size, pos = len(piece), 0
+        end = self.reach.get(piece[:FIRST], FIRST - 1)  # the next token starts at ``pos`` and ends here or before
+        token, pairs, reach = self.tokens.get, self.pairs, self.reach
+        while pos < size:
+            if end > size:
+                end = size
+            while end > pos:
+                i = token(piece[pos:end])
+                if i is not None and end not in dead and (not chosen or pairs[chosen[-1] << 32 | i]):
                     break
-                k -= 1
-            if k >= 0:
+                end -= 1
+            if end > pos:
                 chosen.append(i)
                 starts.append(pos)
-                tried.append(k)
-                pos += length
-                k = len(at[pos]) - 1 if pos < len(piece) else -1
-            else:  # no token here follows the last one: another one instead of it
-                dead[pos] = 1
+                pos = end
+                end = pos + reach.get(piece[pos:pos + FIRST], FIRST - 1)
+            else:  # no token here follows the last one: a shorter one instead of it
+                dead.add(pos)
                 chosen.pop()
-                pos, k = starts.pop(), tried.pop() - 1
+                pos, end = starts.pop(), pos - 1
         return chosen
 
     def piece_bytes(self, piece: str) -> bytes:
         return np.array(self.piece_ids(piece.encode()), "<u4").tobytes()
 
     def chunk_bytes(self, chunk: str) -> bytes:
-        return b"".join([self.pieces[p] for p in self.pattern.findall(chunk)])
+        found = self.pattern.findall(chunk)
+        if len(found) == 1:  # remembered as a chunk
+            return self.piece_bytes(found[0])
+        return b"".join([self.pieces[p] for p in found])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

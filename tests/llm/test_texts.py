@@ -70,6 +70,17 @@ def test_coder_drops_the_oldest_first(monkeypatch):
     assert made.count("hot") == 1
 
 
+def test_bpe_words_are_kept_once_and_equal_the_merges():
+    coder, rnd = bpe.Coder(bpe.read_ranks(PATH), P.PATTERN), random.Random(8)
+    coder.encode("zqxv kjwqp qwxz, kjwqp")
+    assert set(coder.chunks) == {"zqxv", " kjwqp", " qwxz,"} and set(coder.pieces) == {" qwxz", ",", "\n"}
+    words = ["".join(rnd.choices("aeinrstßЖ日 -7", k=rnd.randint(1, 40))).encode() for _ in range(1500)]
+    words += [b"a" * 300, b" " * 77, bytes(range(256)), "日本".encode() * 50]
+    for w in words:
+        whole = coder.ids.get(w)
+        assert coder.piece_ids(w) == ([whole] if whole is not None else coder.merge(w)), w
+
+
 def test_word_boundaries_do_not_cross_texts():
     random.seed(1)
     for _ in range(300):
